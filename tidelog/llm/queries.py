@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op9_line_dedup": op9_line_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 ORACLES = {
     "op9_line_dedup": OP9_SQL,
+    "op10_url_filter": OP10_SQL,
 }
