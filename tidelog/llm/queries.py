@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .quality_rules import op1_quality_rules
 from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
