@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .mixing import op5_source_mix
 from .quality_model import op7_quality_model
 from .quality_rules import op1_quality_rules
 from .toxicity import op8_toxicity
@@ -11,6 +12,7 @@ from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_source_mix": op5_source_mix,
     "op6_language_id": op6_language_id,
     "op7_quality_model": op7_quality_model,
     "op8_toxicity": op8_toxicity,
