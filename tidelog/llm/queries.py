@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op4_decontaminate
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import op5_source_mix
@@ -12,6 +13,7 @@ from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_decontaminate": op4_decontaminate,
     "op5_source_mix": op5_source_mix,
     "op6_language_id": op6_language_id,
     "op7_quality_model": op7_quality_model,
