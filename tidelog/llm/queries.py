@@ -6,6 +6,7 @@ from .decontaminate import op4_decontaminate
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import op5_source_mix
+from .ngram_join import op3_ngram_join
 from .quality_model import op7_quality_model
 from .quality_rules import op1_quality_rules
 from .toxicity import op8_toxicity
@@ -13,6 +14,7 @@ from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_source_mix": op5_source_mix,
     "op6_language_id": op6_language_id,
