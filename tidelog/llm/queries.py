@@ -9,11 +9,13 @@ from .mixing import op5_source_mix
 from .ngram_join import op3_ngram_join
 from .quality_model import op7_quality_model
 from .quality_rules import op1_quality_rules
+from .secret_scan import op2_secret_scan
 from .toxicity import op8_toxicity
 from .url_filter import OP10_SQL, op10_url_filter
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_secret_scan": op2_secret_scan,
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_source_mix": op5_source_mix,
