@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tidelog.plans import log_queries, schema_queries
+
+QUERIES: dict = {**log_queries.QUERIES, **schema_queries.QUERIES}
+ORACLES: dict = {**log_queries.ORACLES, **schema_queries.ORACLES}

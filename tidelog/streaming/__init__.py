@@ -1,0 +1 @@
+"""Streaming forms: bounded batches, deferral, ordered lanes, exactly-once file output, rebuilds."""
