@@ -37,7 +37,7 @@ LONG_LIST, BLOCK = 64, 512
 MAP_BITS = 1024
 FILTER_BITS = 1 << 23
 FRAGMENTS = 4  # vertical fragments of a set in the exact comparison
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 _U = np.uint64
 
 
@@ -125,6 +125,13 @@ def _needed(a, b):
     return F.ceil((a + b) * PERCENT / (100 + PERCENT))
 
 
+def _least_shared(a, b):
+    """Least number of prefix n-grams that linked sets of these sizes share: the set whose prefix ends
+    first in the global order misses at most size - needed overlap of its n-grams there."""
+    rest = lambda n: 1 - F.ceil(n * PERCENT / 100)
+    return F.least(rest(a), rest(b)) + _needed(a, b)
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - (PERCENT * n + 99) // 100 + 1
 
@@ -316,11 +323,7 @@ def leftover_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame) -> Da
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")))
     met = met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(
         F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"), F.first(F.least("x.hot", "y.hot")).alias("hot"))
-    prefix = lambda n: n - F.ceil(n * PERCENT / 100) + 1
-    need = _needed(F.col("na"), F.col("nb"))
-    # The set whose prefix ends first in the global order misses at most n - need of its n-grams there.
-    least = F.least(prefix(F.col("na")) - F.col("na"), prefix(F.col("nb")) - F.col("nb")) + need
-    near = met.where(F.col("shared") + F.col("hot") >= least).select("a", "b")
+    near = met.where(F.col("shared") + F.col("hot") >= _least_shared(F.col("na"), F.col("nb"))).select("a", "b")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     long = long.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     long = long.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "component", "n", "map")
@@ -351,7 +354,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranked = lists.join(classes.select("cls", "central", "n"), "cls")
     heads = ranked.groupBy("token").agg(F.max(F.struct("central", "cls", "n")).alias("head"))
     tries = ranked.join(heads, "token").where((F.col("cls") != F.col("head.cls")) & (100 * F.least("n", "head.n") >= PERCENT * F.greatest("n", "head.n")))
-    tries = tries.groupBy("cls", F.col("head.cls").alias("to")).agg(F.count("*").alias("k")).groupBy("cls").agg(F.max(F.struct("k", "to")).alias("best"))
+    tries = tries.groupBy("cls", "n", F.col("head.cls").alias("to"), F.col("head.n").alias("nto")).agg(F.count("*").alias("k"))
+    # Pairs that share little can wait for the exact round: most of them are chance.
+    tries = tries.where(2 * F.col("k") >= _least_shared(F.col("n"), F.col("nto"))).groupBy("cls").agg(F.max(F.struct("k", "to")).alias("best"))
     first = checkpoint(verify(checkpoint(tries.select(F.least("cls", "best.to").alias("a"), F.greatest("cls", "best.to").alias("b")).distinct()), base, classes))
     rest = checkpoint(leftover_pairs(lists, classes, components(first)))
     second = verify(rest, base, classes)
