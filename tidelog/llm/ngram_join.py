@@ -31,7 +31,7 @@ from .common import checkpoint, components, table
 
 NGRAM, PERCENT = 4, 85
 #: n-grams whose frequency is known to every task (the most frequent ones); the rest come first.
-FREQUENT, LEAST_FREQUENT = 1 << 16, 4
+FREQUENT, LEAST_FREQUENT = 1 << 18, 4
 #: Lists of more classes than this are compared in blocks of BLOCK classes.
 LONG_LIST, BLOCK = 64, 512
 MAP_BITS = 1024
@@ -70,28 +70,34 @@ def short_ids(grams: np.ndarray, bits: int) -> np.ndarray:
     return grams >> _U(32 - bits)
 
 
-def _packed(ids: np.ndarray, bits: int, owners: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """A row for each fragment: sorted 32-bit keys as four byte planes, which compress well."""
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
+def _packed(ids: np.ndarray, bits: int, owners: np.ndarray | None = None, planes: int = 4) -> Iterator[pa.RecordBatch]:
+    """A row for each fragment: sorted keys as byte planes, the high ones of which compress well."""
+    order = np.argsort(ids, kind="stable") if owners is not None else None
+    ids = np.sort(ids) if owners is None else ids[order]
     cut = np.searchsorted(ids >> _U(32), np.arange((1 << bits) + 1, dtype=np.uint64))
     some = np.flatnonzero(np.diff(cut))
     keys = (ids & _U(0xFFFFFFFF)).astype(np.uint32)
-    cols = {"frag": pa.array(some, pa.int32()), "ids": pa.array([np.ascontiguousarray(keys[cut[f] : cut[f + 1]].view(np.uint8).reshape(-1, 4).T).tobytes() for f in some], pa.binary())}
+    cols = {"frag": pa.array(some, pa.int32()), "ids": pa.array([np.ascontiguousarray(keys[cut[f] : cut[f + 1]].view(np.uint8).reshape(-1, 4)[:, 4 - planes :].T).tobytes() for f in some], pa.binary())}
     if owners is not None:
         owners = owners[order]
         cols["owners"] = pa.array([owners[cut[f] : cut[f + 1]].tobytes() for f in some], pa.binary())
     yield pa.record_batch(cols)
 
 
-def _unpacked(col: pa.ChunkedArray) -> np.ndarray:
-    parts = [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view(np.uint32).ravel() for x in col.to_pylist()]
+def _unpacked(col: pa.ChunkedArray, planes: int = 4) -> np.ndarray:
+    """The keys of these rows; of fewer planes only the high bytes, moved down."""
+    parts = []
+    for x in col.to_pylist():
+        whole = np.zeros((len(x) // planes, 4), np.uint8)
+        whole[:, :planes] = np.frombuffer(x, np.uint8).reshape(planes, -1).T
+        parts.append(whole.view(np.uint32).ravel())
     return np.concatenate(parts)
 
 
 def frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the most frequent n-grams, sorted, and in how many rows they are, counted over all rows.
-    At most FREQUENT of them reach the driver, whatever the size of the input."""
+    """Coarse ids (short ids without their last byte) of the most frequent n-grams, sorted, and in how
+    many rows they are, counted over all rows. At most FREQUENT of them reach the driver, whatever the
+    size of the input. n-grams of one coarse id share a place in the order, which is as valid."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -101,23 +107,24 @@ def frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
                 held.append(ids)
                 n += len(ids)
                 if n >= FLUSH:
-                    yield from _packed(np.concatenate(held), bits)
+                    yield from _packed(np.concatenate(held), bits, planes=3)
                     held, n = [], 0
         if n:
-            yield from _packed(np.concatenate(held), bits)
+            yield from _packed(np.concatenate(held), bits, planes=3)
 
     most = -(-FREQUENT >> bits) or 1
 
     def count(rows: pa.Table) -> pa.Table:
-        key, n = np.unique(_unpacked(rows.column("ids")), return_counts=True)
+        key, n = np.unique(_unpacked(rows.column("ids"), planes=3), return_counts=True)
         top = np.argsort(-n, kind="stable")[:most]
         top = top[n[top] >= LEAST_FREQUENT]
         frag = rows.column("frag")[0].as_py()
-        return pa.table({"id": pa.array((frag << 32) | key[top].astype(np.int64), pa.int64()), "n": pa.array(n[top], pa.int64())})
+        return pa.table({"id": pa.array((frag << 24) | key[top].astype(np.int64), pa.int64()), "n": pa.array(n[top], pa.int64())})
 
-    got = docs.mapInArrow(emit, "frag int, ids binary").groupBy("frag").applyInArrow(count, "id bigint, n bigint").collect()
-    got.sort(key=lambda r: r.id)
-    return np.array([r.id for r in got], np.uint64), np.array([r.n for r in got], np.int64)
+    got = docs.mapInArrow(emit, "frag int, ids binary").groupBy("frag").applyInArrow(count, "id bigint, n bigint").toArrow()
+    ids, n = (got.column(c).to_numpy() for c in ("id", "n"))
+    order = np.argsort(ids)
+    return ids[order].astype(np.uint64), n[order]
 
 
 def _needed(a, b):
@@ -136,7 +143,7 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-SETS = "doc_id bigint, mark bigint, cls bigint, n bigint, central double, map binary, often array<bigint>, rare array<bigint>"
+SETS = "doc_id bigint, mark bigint, cls bigint, n bigint, central double, map array<bigint>, often array<bigint>, rare array<bigint>"
 
 
 def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int) -> DataFrame:
@@ -151,15 +158,16 @@ def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int)
                 ids = short_ids(grams, bits)
                 level = np.zeros(len(ids), np.int64)
                 if len(often) and len(ids):
-                    at = np.minimum(np.searchsorted(often, ids), len(often) - 1)
-                    level = np.where(often[at] == ids, counts[at], 0)
+                    coarse = ids >> _U(8)
+                    at = np.minimum(np.searchsorted(often, coarse), len(often) - 1)
+                    level = np.where(often[at] == coarse, counts[at], 0)
                 total = np.zeros(len(grams) + 1, np.uint64)
                 with np.errstate(over="ignore"):
                     np.cumsum(W.mix64(grams), out=total[1:])
                     cls = W.mix64(total[cut[1:]] - total[cut[:-1]] + n.astype(np.uint64)).view(np.int64)
                 central = np.bincount(rows, level, j - i) / np.maximum(n, 1)
                 parity = np.bincount(rows * MAP_BITS + (grams & _U(MAP_BITS - 1)).astype(np.int64), minlength=(j - i) * MAP_BITS) & 1
-                maps = np.packbits(parity.astype(np.uint8).reshape(j - i, MAP_BITS), axis=1)
+                maps = np.packbits(parity.astype(np.uint8).reshape(j - i, MAP_BITS), axis=1).view(np.int64)
                 want, common, rare = prefix_length(n), [], []
                 signed = ids.view(np.int64)
                 for k in range(j - i):
@@ -174,7 +182,7 @@ def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int)
                     common.append(rest)
                 lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in col])]), pa.int32()), pa.array(np.concatenate(col), pa.int64())) for col in (common, rare)]
                 part = batch.slice(i, j - i)
-                yield pa.record_batch([part.column(0), part.column(2), pa.array(cls, pa.int64(), mask=n == 0), pa.array(n, pa.int64()), pa.array(central), pa.array([m.tobytes() for m in maps], pa.binary()), *lists], ["doc_id", "mark", "cls", "n", "central", "map", "often", "rare"])
+                yield pa.record_batch([part.column(0), part.column(2), pa.array(cls, pa.int64(), mask=n == 0), pa.array(n, pa.int64()), pa.array(central), pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * maps.shape[1], pa.int32()), pa.array(maps.ravel())), *lists], ["doc_id", "mark", "cls", "n", "central", "map", "often", "rare"])
 
     return docs.mapInArrow(run, SETS)
 
@@ -219,10 +227,15 @@ def shared_lists(sets: DataFrame, bits: int) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that link: partial overlaps in each vertical fragment, summed.
 
-    Only texts of classes in some pair are cut into n-grams again; a bit filter of fixed size keeps
+    Pairs whose parity bitmaps differ in more bits than linked sets may differ in n-grams are out
+    before that. Only texts of classes in some pair are cut into n-grams again; a bit filter of fixed size keeps
     the others out before that, and the joins leave out what it lets pass.
     """
     size = FILTER_BITS
+    of = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("map").alias(f"m{c}"))
+    both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
+    differ = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    pairs = checkpoint(both.where(differ <= F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"))
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     spot = F.pmod(F.col("mark"), F.lit(size))
     bits = (
@@ -272,16 +285,13 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     left = parts.select(F.col("cls").alias("a"), "frag", F.col("grams").alias("one"))
     right = parts.select(F.col("cls").alias("b"), "frag", F.col("grams").alias("two"))
     sums = (
-        pairs.select("a", "b")
-        .join(left, "a")
+        pairs.join(left, "a")
         .join(right, ["b", "frag"])
-        .select("a", "b", F.size(F.array_intersect("one", "two")).alias("partial"))
-        .groupBy("a", "b")
+        .select("a", "b", "na", "nb", F.size(F.array_intersect("one", "two")).alias("partial"))
+        .groupBy("a", "b", "na", "nb")
         .agg(F.sum("partial").alias("overlap"))
     )
-    n = classes.select(F.col("cls").alias("of"), F.col("n").alias("size"))
-    both = sums.join(n.withColumnRenamed("size", "na"), F.col("a") == F.col("of")).drop("of").join(n.withColumnRenamed("size", "nb"), F.col("b") == F.col("of")).drop("of")
-    return both.where(100 * F.col("overlap") >= PERCENT * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
+    return sums.where(100 * F.col("overlap") >= PERCENT * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
 def _close(rows: pa.Table) -> pa.Table:
@@ -289,7 +299,7 @@ def _close(rows: pa.Table) -> pa.Table:
     where two sets differ in d n-grams, their parity bitmaps differ in at most d bits."""
     same = rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
     cls, comp, n, block = (rows.column(c).to_numpy() for c in ("cls", "component", "n", "block"))
-    maps = np.frombuffer(b"".join(rows.column("map").to_pylist()), np.uint64).reshape(len(cls), -1)
+    maps = rows.column("map").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(cls), -1)
     one = np.arange(len(cls)) if same else np.flatnonzero(block == rows.column("i")[0].as_py())
     two = one if same else np.flatnonzero(block != rows.column("i")[0].as_py())
     left, right = [], []
