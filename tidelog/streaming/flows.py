@@ -30,26 +30,32 @@ class _Deferral(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "row string, due bigint")
+        self.held = handle.getValueState("held", "rows string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
-        now = timers.getCurrentProcessingTimeInMs()
-        out = []
+    def _read(self) -> list:
+        return json.loads(self.held.get()[0]) if self.held.exists() else []
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        now, out, held = timerValues.getCurrentProcessingTimeInMs(), [], self._read()
         for part in rows:
             for text, delay in zip(part["row"], part["delay_ms"], strict=True):
                 if delay <= 0:
                     out.append(text)
                 else:
-                    self.held.appendValue((text, int(now + delay)))
+                    held.append([text, int(now + delay)])
                     self.handle.registerTimer(int(now + delay))
-        yield pd.DataFrame({"row": out})
-
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:  # noqa: N802
-        now = timers.getCurrentProcessingTimeInMs()
-        all_ = list(self.held.get())
-        due = [r[0] for r in all_ if r[1] <= now]
-        self.held.put([r for r in all_ if r[1] > now]) if len(due) < len(all_) else self.held.clear()
-        yield pd.DataFrame({"row": due})
+        if held:
+            self.held.update((json.dumps(held),))
+        yield pd.DataFrame({"row": pd.Series(out, dtype=object)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+        now, held = timerValues.getCurrentProcessingTimeInMs(), self._read()
+        rest = [r for r in held if r[1] > now]
+        if rest:
+            self.held.update((json.dumps(rest),))
+        else:
+            self.held.clear()
+        yield pd.DataFrame({"row": pd.Series([r[0] for r in held if r[1] <= now], dtype=object)})
 
     def close(self) -> None:
         pass
@@ -59,7 +65,7 @@ def deferred(stream: DataFrame, lane: str = "key") -> DataFrame:
     """Gives each row of a stream out `delay_ms` after it came (at once for 0 or null); rows behind do not
     wait. Needs the RocksDB state store. Rows come back in their own columns."""
     cols = [c for c in stream.columns if c != "delay_ms"]
-    packed = stream.select(F.coalesce(F.col(lane).cast("string"), F.lit("")).alias("lane"), F.to_json(F.struct(*[F.col(c) if c != "headers" else F.col(c) for c in cols])).alias("row"), F.coalesce(F.col("delay_ms"), F.lit(0)).cast("bigint").alias("delay_ms"))
+    packed = stream.select(F.coalesce(F.col(lane).cast("string"), F.lit("")).alias("lane"), F.to_json(F.struct(*cols)).alias("row"), F.coalesce(F.col("delay_ms"), F.lit(0)).cast("bigint").alias("delay_ms"))
     out = packed.groupBy("lane").transformWithStateInPandas(statefulProcessor=_Deferral(), outputStructType="row string", outputMode="Append", timeMode="ProcessingTime")
     schema = stream.select(*cols).schema
     return out.select(F.from_json("row", schema).alias("r")).select("r.*")
@@ -71,7 +77,7 @@ class _Ledger(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "balance double, last bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         balance, last = self.state.get() if self.state.exists() else (0.0, -1)
         part = pd.concat(list(rows)).sort_values("offset")
         part = part[part["offset"] > last]
