@@ -108,7 +108,8 @@ def _stutter(buf, bounds, counts):
 
 RULES = [
     Rule("symbols", lambda b, o, c: c["n_symbols"] > 0.1 * c["n_words"]),
-    Rule("dup_lines", lambda b, o, c: c["n_dup_lines"] > 0.3 * (W.per_row(b == 10, o) + 1)),
+    # A line that comes again once or twice, such as a heading below a short text, is no junk.
+    Rule("dup_lines", lambda b, o, c: c["n_dup_lines"] > np.maximum(2, 0.3 * (W.per_row(b == 10, o) + 1))),
     Rule("word_length", lambda b, o, c: (c["word_chars"] < 2 * c["n_words"]) | (c["word_chars"] > 15 * c["n_words"])),
     Rule("capitals", lambda b, o, c: _per_letter(b, o, _CAPITAL) > 0.5),
     Rule("unlettered", _unlettered),
