@@ -14,7 +14,7 @@ from . import wordhash as W
 from .common import held_out, sample_by_id, table
 
 #: Labelled rows that the model is fitted on (at most twice as many); everything is scored.
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 20000
 BITS, FACTORS = 18, 8
 #: Terms of the model: the most telling ones found in so many training rows at least.
 TERMS, LEAST_ROWS = 4096, 4
@@ -81,7 +81,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataF
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 12, label: str = "toxic") -> FactorMachine:
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 20, label: str = "toxic", ridge: float = 2e-5, positive: float = 3.0) -> FactorMachine:
     got = labelled(docs, labels, label, rows).mapInArrow(_rows, "doc_id bigint, label int, terms binary").collect()
     got = sorted(got, key=lambda r: (r.doc_id, bytes(r.terms)))
     y = np.array([r.label for r in got], float)
@@ -108,12 +108,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: in
             row = np.repeat(np.arange(len(some)), [len(each[i]) for i in some])
             term = np.concatenate([each[i] for i in some])
             raw, total = _raw(row, term, len(some), bias[0], w, v)
-            d = (_sigmoid(raw) - y[some]) / len(some)
+            # Toxic rows are few and missing one costs more, so they weigh more.
+            d = (_sigmoid(raw) - y[some]) * np.where(y[some] > 0, positive, 1.0) / len(some)
             used, at = np.unique(term, return_inverse=True)
-            gw = np.bincount(at, d[row], len(used)) + 2e-4 * w[used]
+            gw = np.bincount(at, d[row], len(used)) + ridge * w[used]
             gv = np.zeros((len(used), FACTORS))
             np.add.at(gv, at, d[row, None] * (total[row] - v[term]))
-            gv += 1e-3 * v[used]
+            gv += 5 * ridge * v[used]
             seen[0] += d.sum() ** 2
             seen[1][used] += gw * gw
             seen[2][used] += gv * gv
