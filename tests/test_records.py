@@ -162,3 +162,13 @@ def test_fencing_and_exactly_once_rows(spark):
     log = spark.createDataFrame([("p", 1, 1), ("p", 2, 2), (None, None, None)], "transactional_id string, epoch bigint, txn bigint")
     marks = spark.createDataFrame([("p", 2, 2, "commit")], "transactional_id string, epoch bigint, txn bigint, marker string")
     assert sorted((r.txn or 0, r.txn_state, r.fenced) for r in txn.fence(log, marks).collect()) == [(0, "committed", False), (1, "aborted", True), (2, "committed", False)]
+
+
+def test_written_logs_come_back_and_prune_by_topic(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0, 0, b"k", b"v"), ("b", 1, 0, None, b"w")], "topic string, partition int, offset bigint, key binary, value binary")
+    placement.write_log(rows, f"{tmp_path}/log")
+    back = logs.read_log(spark, f"{tmp_path}/log")
+    assert sorted((r.topic, r.offset, bytes(r.value)) for r in back.collect()) == [("a", 0, b"v"), ("b", 0, b"w")]
+    plan = logs.subscribe_topics(back, "a")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan or "PartitionFilters: [(topic" in plan
+    assert logs.subscribe_topics(back, "a").count() == 1

@@ -10,7 +10,6 @@ from tidelog.operators import models as M
 from tidelog.operators import placement as K
 from tidelog.operators import settle as C
 from tidelog.operators import txn as X
-from tidelog.plans import fixtures as X_
 from tidelog.plans.fixtures import LOG, OUT, TXN, event_log, event_rows, group_offsets, outcomes, table, transactions
 from tidelog.sources import logs as L
 
@@ -492,5 +491,3 @@ def replay_since(s, d):
     log = key_text(event_log(s, d)).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     return M.replay_since(log, "2024-01-24", "key", "amount").withColumn("total", F.col("total").cast("double"))
 
-
-__all__ = ["ORACLES", "QUERIES", "X_"]
