@@ -100,8 +100,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: in
     bias, w, v = np.array([np.log(rate / (1 - rate))]), np.zeros(len(top)), rng.normal(0, 0.01, (len(top), FACTORS))
     seen = [np.full(a.shape, 1e-2) for a in (bias, w, v)]
     each = [np.unique(model.wanted[t][model.wanted[t] >= 0]) for t in each]
-    order, rest = rng.permutation(len(y)), None
-    for epoch in range(epochs):
+    order = rng.permutation(len(y))
+    for _ in range(epochs):
         rng.shuffle(order)
         for k in range(0, len(order), 64):
             some = order[k : k + 64]
