@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,27 +102,35 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str
     """Fits on a bounded sample of the rows whose label may be learnt from. The last fifth of it
     sets the temperature and the rejection threshold."""
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    got = sample_by_id(usable, rows).mapInArrow(_counts, "doc_id bigint, lang string, buckets binary, shares binary").collect()
-    got = sorted((r for r in got if r.buckets), key=lambda r: (r.doc_id, r.lang, bytes(r.buckets)))
-    langs = sorted({r.lang for r in got})
+    got = sample_by_id(usable, rows).mapInArrow(_counts, "doc_id bigint, lang string, buckets binary, shares binary").toArrow()
+    got = got.filter(pc.greater(pc.binary_length(got.column("buckets")), 0)).sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("buckets", "ascending")])
+    named = got.column("lang").to_pylist()
+    langs = sorted(set(named))
     if not langs:
         return LanguageModel([UNKNOWN], np.zeros((1 << BITS, 1), np.float32), np.zeros(1), 1.0, 0.0)
-    x = np.zeros((len(got), 1 << BITS), np.float32)
-    for k, r in enumerate(got):
-        x[k, np.frombuffer(r.buckets, np.uint16)] = np.frombuffer(r.shares, np.float32)
-    y = np.array([langs.index(r.lang) for r in got])
+    where = [np.frombuffer(x, np.uint16) for x in got.column("buckets").to_pylist()]
+    share = [np.frombuffer(x, np.float32) for x in got.column("shares").to_pylist()]
+
+    def dense(some: np.ndarray) -> np.ndarray:
+        """The rows' bucket shares; only so many rows at once are ever dense."""
+        x = np.zeros((len(some), 1 << BITS), np.float32)
+        for k, i in enumerate(some):
+            x[k, where[i]] = share[i]
+        return x
+
+    y = np.array([langs.index(v) for v in named])
     rng = np.random.default_rng(1)
-    order = rng.permutation(len(got))
-    fit, dev = (order, order) if len(got) < 50 else (order[: len(got) * 4 // 5], order[len(got) * 4 // 5 :])
+    order = rng.permutation(len(y))
+    fit, dev = (order, order) if len(y) < 50 else (order[: len(y) * 4 // 5], order[len(y) * 4 // 5 :])
     # Embeddings start small; the shares of a row are small, so both layers take large steps (AdaGrad).
-    emb, out, bias = rng.normal(0, 0.1, (1 << BITS, DIM)), np.zeros((DIM, len(langs))), np.zeros(len(langs))
+    emb, out, bias = rng.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32), np.zeros((DIM, len(langs))), np.zeros(len(langs))
     out += rng.normal(0, 0.1, out.shape)
     seen_e, seen_o, seen_b = np.full(emb.shape, 1e-8), np.full(out.shape, 1e-8), np.full(bias.shape, 1e-8)
     mean, steps = [np.zeros_like(a) for a in (emb, out, bias)], 0
     for epoch in range(epochs):
         rng.shuffle(fit)
         for k in range(0, len(fit), 128):
-            rows_, want = x[fit[k : k + 128]], y[fit[k : k + 128]]
+            rows_, want = dense(fit[k : k + 128]), y[fit[k : k + 128]]
             h = rows_ @ emb
             d = _softmax(h @ out + bias)
             d[np.arange(len(want)), want] -= 1
@@ -135,7 +144,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str
                 m += a
     emb, out, bias = (m / max(1, steps) for m in mean)
     model = LanguageModel(langs, (emb @ out).astype(np.float32), bias, 1.0, 0.0)
-    logits = x[dev] @ model.table + bias
+    logits = np.concatenate([dense(dev[k : k + 128]) @ model.table for k in range(0, len(dev), 128)]) + bias
     nll = lambda t: -np.log(np.maximum(1e-12, _softmax(logits / t)[np.arange(len(dev)), y[dev]])).mean()
     model.heat = min((2.0**k for k in np.arange(-4, 4.25, 0.25)), key=nll)
     sure = _softmax(logits / model.heat).max(axis=1)
