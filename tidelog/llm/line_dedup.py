@@ -38,10 +38,12 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     common = (
         lines.select(F.explode(F.array_distinct("keys")).alias("key"))
         .where("key is not null")
-        .groupBy("key.a", "key.b")
+        # Grouped by the struct, joined by its fields: the join then has an exchange of its own on
+        # either side, which adaptive execution needs to split a line that very many rows hold.
+        .groupBy("key")
         .agg(F.count("*").alias("n_docs"))
         .where(F.col("n_docs") >= min_docs)
-        .select("a", "b", F.lit(True).alias("common"))
+        .select("key.a", "key.b", F.lit(True).alias("common"))
     )
     # Rows that are the same in id and text share their marks, so they are marked once.
     marked = (
