@@ -33,7 +33,7 @@ NGRAM, PERCENT = 4, 85
 #: n-grams whose frequency is known to every task (the most frequent ones); the rest come first.
 FREQUENT, LEAST_FREQUENT = 1 << 18, 4
 #: Lists of more classes than this are compared in blocks of BLOCK classes.
-LONG_LIST, BLOCK = 64, 512
+LONG_LIST, BLOCK = 64, 256
 MAP_BITS = 1024
 FILTER_BITS = 1 << 23
 FRAGMENTS = 4  # vertical fragments of a set in the exact comparison
