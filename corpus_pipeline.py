@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tidelog.llm import decontaminate, language_id, line_dedup, mixing, ngram_join
 from tidelog.llm.common import checkpoint, table
 
+#: Words of a shingle and percentage of likeness of the near-copy stage (op3 alone takes 4 and 85).
+SHINGLE, ALIKE = 5, 80
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier is sure of; those it rejects go."""
@@ -29,8 +32,8 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group of exact and near copies: five-word shingles, 0.8 alike or more."""
+    return ngram_join.one_of_each(docs, gram=SHINGLE, percent=ALIKE)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

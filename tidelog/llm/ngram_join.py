@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from . import wordhash as W
 from .common import checkpoint, components, table
 
+#: The contract of the op3 query; other callers name their own shingle length and percentage.
 NGRAM, PERCENT = 4, 85
 #: n-grams whose frequency is known to every task (the most frequent ones); the rest come first.
 FREQUENT, LEAST_FREQUENT = 1 << 18, 4
@@ -94,7 +95,7 @@ def _unpacked(col: pa.ChunkedArray, planes: int = 4) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent(docs: DataFrame, bits: int, gram: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
     """Coarse ids (short ids without their last byte) of the most frequent n-grams, sorted, and in how
     many rows they are, counted over all rows. At most FREQUENT of them reach the driver, whatever the
     size of the input. n-grams of one coarse id share a place in the order, which is as valid."""
@@ -103,7 +104,7 @@ def frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         held, n = [], 0
         for batch in batches:
             for _, _, buf, bounds in W.chunks(batch.column(0)):
-                ids = short_ids(ngram_sets(buf, bounds)[0], bits)
+                ids = short_ids(ngram_sets(buf, bounds, gram)[0], bits)
                 held.append(ids)
                 n += len(ids)
                 if n >= FLUSH:
@@ -127,33 +128,33 @@ def frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return ids[order].astype(np.uint64), n[order]
 
 
-def _needed(a, b):
+def _needed(a, b, percent: int):
     """Least overlap of linked sets of these sizes."""
-    return F.ceil((a + b) * PERCENT / (100 + PERCENT))
+    return F.ceil((a + b) * percent / (100 + percent))
 
 
-def _least_shared(a, b):
+def _least_shared(a, b, percent: int):
     """Least number of prefix n-grams that linked sets of these sizes share: the set whose prefix ends
     first in the global order misses at most size - needed overlap of its n-grams there."""
-    rest = lambda n: 1 - F.ceil(n * PERCENT / 100)
-    return F.least(rest(a), rest(b)) + _needed(a, b)
+    rest = lambda n: 1 - F.ceil(n * percent / 100)
+    return F.least(rest(a), rest(b)) + _needed(a, b, percent)
 
 
-def prefix_length(n: np.ndarray) -> np.ndarray:
-    return n - (PERCENT * n + 99) // 100 + 1
+def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    return n - (percent * n + 99) // 100 + 1
 
 
 SETS = "doc_id bigint, mark bigint, cls bigint, n bigint, central double, map array<bigint>, often array<bigint>, rare array<bigint>"
 
 
-def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int) -> DataFrame:
+def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int, gram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """Per row its set's class (hash of the set; null without words), size, mean frequency, parity
     bitmap and prefix in the global order, frequent and other n-grams apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, bounds in W.chunks(batch.column(1)):
-                grams, cut = ngram_sets(buf, bounds)
+                grams, cut = ngram_sets(buf, bounds, gram)
                 n, rows = np.diff(cut), np.repeat(np.arange(j - i), np.diff(cut))
                 ids = short_ids(grams, bits)
                 level = np.zeros(len(ids), np.int64)
@@ -168,7 +169,7 @@ def describe(docs: DataFrame, often: np.ndarray, counts: np.ndarray, bits: int)
                 central = np.bincount(rows, level, j - i) / np.maximum(n, 1)
                 parity = np.bincount(rows * MAP_BITS + (grams & _U(MAP_BITS - 1)).astype(np.int64), minlength=(j - i) * MAP_BITS) & 1
                 maps = np.packbits(parity.astype(np.uint8).reshape(j - i, MAP_BITS), axis=1).view(np.int64)
-                want, common, rare = prefix_length(n), [], []
+                want, common, rare = prefix_length(n, percent), [], []
                 signed = ids.view(np.int64)
                 for k in range(j - i):
                     own, lv = signed[cut[k] : cut[k + 1]], level[cut[k] : cut[k + 1]]
@@ -224,7 +225,7 @@ def shared_lists(sets: DataFrame, bits: int) -> DataFrame:
     return common.union(packed.groupBy("frag").applyInArrow(meet, "token bigint, cls bigint"))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, gram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes that link: partial overlaps in each vertical fragment, summed.
 
     Pairs whose parity bitmaps differ in more bits than linked sets may differ in n-grams are out
@@ -235,7 +236,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     of = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("map").alias(f"m{c}"))
     both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
     differ = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    pairs = checkpoint(both.where(differ <= F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"))).select("a", "b", "na", "nb"))
+    pairs = checkpoint(both.where(differ <= F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb"))
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     spot = F.pmod(F.col("mark"), F.lit(size))
     bits = (
@@ -262,7 +263,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
             if not len(chosen):
                 continue
             for i, j, buf, bounds in W.chunks(batch.column(1).take(pa.array(chosen))):
-                grams, at = ngram_sets(buf, bounds)
+                grams, at = ngram_sets(buf, bounds, gram)
                 n = np.diff(at)
                 total = np.zeros(len(grams) + 1, np.uint64)
                 with np.errstate(over="ignore"):
@@ -291,10 +292,10 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
         .groupBy("a", "b", "na", "nb")
         .agg(F.sum("partial").alias("overlap"))
     )
-    return sums.where(100 * F.col("overlap") >= PERCENT * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
+    return sums.where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
-def _close(rows: pa.Table) -> pa.Table:
+def _close(rows: pa.Table, percent: int) -> pa.Table:
     """Pairs of different components in one block or between two that the bitmaps do not rule out:
     where two sets differ in d n-grams, their parity bitmaps differ in at most d bits."""
     same = rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
@@ -306,8 +307,8 @@ def _close(rows: pa.Table) -> pa.Table:
     for k in range(0, len(one), 64):
         a = one[k : k + 64]
         na, nb = n[a][:, None], n[two][None, :]
-        most = na + nb - 2 * -(-(na + nb) * PERCENT // (100 + PERCENT))
-        ok = (comp[a][:, None] != comp[two][None, :]) & (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb))
+        most = na + nb - 2 * -(-(na + nb) * percent // (100 + percent))
+        ok = (comp[a][:, None] != comp[two][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
         x, y = np.nonzero(ok)
         far = np.bitwise_count(maps[a[x]] ^ maps[two[y]]).sum(axis=1, dtype=np.int64)
         good = far <= most[x, y]
@@ -318,7 +319,7 @@ def _close(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pair[:, 0], pa.int64()), "b": pa.array(pair[:, 1], pa.int64())})
 
 
-def leftover_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+def leftover_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of classes in different components that may link: from short lists those whose count of
     shared prefix n-grams allows the needed overlap, from long ones what the bitmaps let pass."""
     of = found.select(F.col("node").alias("cls"), "component")
@@ -330,22 +331,22 @@ def leftover_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame) -> Da
     many = long.groupBy("cls").agg(F.count("*").alias("hot"))
     short = short.join(many, "cls", "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
     x, y = short.alias("x"), short.alias("y")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
     met = met.groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).agg(
         F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"), F.first(F.least("x.hot", "y.hot")).alias("hot"))
-    near = met.where(F.col("shared") + F.col("hot") >= _least_shared(F.col("na"), F.col("nb"))).select("a", "b")
+    near = met.where(F.col("shared") + F.col("hot") >= _least_shared(F.col("na"), F.col("nb"), percent)).select("a", "b")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     long = long.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     long = long.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "component", "n", "map")
-    far = long.groupBy("token", "i", "j").applyInArrow(_close, "a bigint, b bigint")
+    far = long.groupBy("token", "i", "j").applyInArrow(lambda rows: _close(rows, percent), "a bigint, b bigint")
     return near.union(far).distinct()
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, n_shingles, component_id) of every row; mark is the text's xxhash64.
 
-    A row's set is its distinct 4-grams of words (A-Z lower-cased); rows link where 100 * overlap >=
-    85 * union; component_id is the smallest id reachable. Null and empty texts have an empty set and
+    A row's set is its distinct n-grams of `gram` words (A-Z lower-cased); rows link where
+    100 * overlap >= percent * union; component_id is the smallest id reachable. Null and empty texts have an empty set and
     link with nothing (component_id is their own id). Repeated rows and ids each come back; null ids
     do not count as smallest, and a component of null ids alone has a null id. Other columns are not
     read.
@@ -355,21 +356,21 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits = max(8, int(np.ceil(np.log2(4 * parts))))
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
-    often, counts = frequent(base.select("text"), bits)
-    sets = checkpoint(describe(base.select("doc_id", "text", "mark"), often, counts, bits))
+    often, counts = frequent(base.select("text"), bits, gram)
+    sets = checkpoint(describe(base.select("doc_id", "text", "mark"), often, counts, bits, gram, percent))
     classes = sets.where("cls is not null").groupBy("cls").agg(F.min("mark").alias("mark"), F.min("n").alias("n"), F.max("central").alias("central"), F.min("map").alias("map"), F.min("doc_id").alias("least_id"))
     classes = checkpoint(classes)
     lists = checkpoint(shared_lists(sets.select("cls", "often", "rare"), bits))
     # First round: each class with the most central class of the lists that it is in.
     ranked = lists.join(classes.select("cls", "central", "n"), "cls")
     heads = ranked.groupBy("token").agg(F.max(F.struct("central", "cls", "n")).alias("head"))
-    tries = ranked.join(heads, "token").where((F.col("cls") != F.col("head.cls")) & (100 * F.least("n", "head.n") >= PERCENT * F.greatest("n", "head.n")))
+    tries = ranked.join(heads, "token").where((F.col("cls") != F.col("head.cls")) & (100 * F.least("n", "head.n") >= percent * F.greatest("n", "head.n")))
     tries = tries.groupBy("cls", "n", F.col("head.cls").alias("to"), F.col("head.n").alias("nto")).agg(F.count("*").alias("k"))
     # Pairs that share little can wait for the exact round: most of them are chance.
-    tries = tries.where(2 * F.col("k") >= _least_shared(F.col("n"), F.col("nto"))).groupBy("cls").agg(F.max(F.struct("k", "to")).alias("best"))
-    first = checkpoint(verify(checkpoint(tries.select(F.least("cls", "best.to").alias("a"), F.greatest("cls", "best.to").alias("b")).distinct()), base, classes))
-    rest = checkpoint(leftover_pairs(lists, classes, components(first)))
-    second = verify(rest, base, classes)
+    tries = tries.where(2 * F.col("k") >= _least_shared(F.col("n"), F.col("nto"), percent)).groupBy("cls").agg(F.max(F.struct("k", "to")).alias("best"))
+    first = checkpoint(verify(checkpoint(tries.select(F.least("cls", "best.to").alias("a"), F.greatest("cls", "best.to").alias("b")).distinct()), base, classes, gram, percent))
+    rest = checkpoint(leftover_pairs(lists, classes, components(first), percent))
+    second = verify(rest, base, classes, gram, percent)
     whole = components(first.union(second))
     least = classes.select("cls", "least_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     ids = least.groupBy(F.col("component").alias("of")).agg(F.min("least_id").alias("component_id"))
@@ -378,14 +379,14 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, unchanged, of which each linked group keeps only the one of smallest id.
 
     Rows without words are in no group and stay. Repeated rows of words stay once. A row of null id
     goes if it links with one that has an id; rows of null id alone stay, once for each text.
     """
     names = docs.columns
-    kept = link_components(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "mark").agg(F.max("n_shingles").alias("n_shingles"))
+    kept = link_components(docs, id_col, text_col, gram, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "mark").agg(F.max("n_shingles").alias("n_shingles"))
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark"), "n_shingles")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).cast("bigint").alias("own_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_mark"))
     met = whole.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_mark") == F.col("kept_mark")))
@@ -394,4 +395,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("mark")
+    return link_components(table(spark, sf_dir, "documents").select("doc_id", "text"), gram=NGRAM, percent=PERCENT).drop("mark")
