@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
 from tidelog.operators.framing import _is_text, _text, latest, record_names
-from tidelog.sources.logs import _ckpt
+from tidelog.sources.checkpoints import checkpoint
 
 LEVELS = ("NONE", "BACKWARD", "BACKWARD_TRANSITIVE", "FORWARD", "FORWARD_TRANSITIVE", "FULL", "FULL_TRANSITIVE")
 
@@ -61,7 +61,7 @@ def compatibility_audit(schemas: DataFrame, levels: DataFrame, depth: int = 6) -
     its subject's level names (the latest of them, or all where transitive; undeclared: BACKWARD; NONE:
     no rows). backward: the new schema reads what the old wrote; forward: the other way round. A
     resolution that fails for only some values fails."""
-    fields = _ckpt(schema_fields(schemas, depth))  # it is read three times
+    fields = checkpoint(schema_fields(schemas, depth))  # it is read three times
     v = schemas.where("schema_type = 'AVRO'").select("subject", "version").distinct()
     level = F.coalesce("level", F.lit("BACKWARD"))
     pairs = v.withColumnRenamed("version", "new_version").join(v.withColumnRenamed("version", "old_version"), "subject").where("old_version < new_version")

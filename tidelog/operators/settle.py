@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
-from tidelog.sources.logs import PLACE, _ckpt
+from tidelog.sources.checkpoints import checkpoint
+from tidelog.sources.logs import PLACE
 
 MODES = ("auto", "tracked", "transactional")
 
@@ -130,7 +131,7 @@ def process_with_retries(backlog: DataFrame, outcome: Column, cap: int, dead_top
     for k in range(1, cap + 1):
         seen = todo.withColumn("ordinal", R.delivery_ordinal("headers")).withColumn("round", F.lit(k)).withColumn("outcome", outcome)
         result = F.when(~_retrying(), "settled").when(F.col("ordinal") < cap, "copied").otherwise("dead")
-        seen = _ckpt(seen.withColumn("result", result))
+        seen = checkpoint(seen.withColumn("result", result))
         rounds.append(seen)
         todo = seen.where("result = 'copied'").withColumn("headers", R.with_retry_count("headers", F.col("ordinal"))).select(*backlog.columns)
         if todo.limit(1).count() == 0:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
+from tidelog.sources.checkpoints import checkpoint
 
 SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp, key binary, value binary, headers array<struct<key:string,value:binary>>"
 PLACE = ["topic", "partition"]
@@ -30,15 +31,6 @@ def read_log(spark: SparkSession, source: str | dict, fmt: str = "parquet", stre
     return reader.format(fmt).options(**options).load(source)
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-"))
-    return df.checkpoint()
-
-
 def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
     """Batch: adds `name`, the row's rank from 0 by `order` (a total order) within `groups`, without
     putting a whole group in one task.
@@ -47,7 +39,7 @@ def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -
     where they were counted; each partition's count is added up in order over a table of one row for
     each partition and group; ranks within a partition start from that base.
     """
-    ranged = _ckpt(df.repartitionByRange(*[F.col(c) for c in [*groups, *order]]).withColumn("_slice", F.spark_partition_id()))
+    ranged = checkpoint(df.repartitionByRange(*[F.col(c) for c in [*groups, *order]]).withColumn("_slice", F.spark_partition_id()))
     counts = ranged.groupBy("_slice", *groups).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
