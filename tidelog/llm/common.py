@@ -1,13 +1,12 @@
-"""Helpers shared by the corpus operators: reading, reliable checkpoints, connected components."""
+"""Helpers shared by the corpus operators: reading, sampling, connected components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.sources.checkpoints import checkpoint
+
 #: Labels may be learnt only from rows whose crc32(doc_id as text) mod FOLDS is not 0.
 FOLDS = 5
 
@@ -21,22 +20,14 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names in
-    spark.checkpoint.dir; only where that is unset (tests) a folder of our own is set."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-", dir=os.environ.get("TMPDIR")))
-    return df.checkpoint()
-
-
 def sample_by_id(df: DataFrame, rows: int, key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """About `rows` rows, at most twice as many, chosen by a hash of the key, so reruns agree.
-    Only for fitting models and cost estimates; results never come from it."""
+    """About `rows` rows of different keys, chosen by a hash of the key, so reruns choose the same keys.
+    Of a repeated (or null) key one row is taken, and copies fall away before the shuffle, so a hot
+    key doesn't swell the sample. Only for fitting models and cost estimates; results never come from it."""
     total = max(1, df.count())
     scale = 1 << 30
     keep = min(scale, int(scale * rows / total) + 1)
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(scale)) < keep).limit(2 * rows)
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(scale)) < keep).dropDuplicates([key])
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
