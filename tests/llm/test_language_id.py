@@ -24,6 +24,30 @@ def test_held_out_accuracy_and_undetermined(spark):
     assert all(0 <= g.lang_score <= 1 for g in got)
 
 
+def test_unlearnt_language_is_rejected_and_learnt_ones_are_not(spark):
+    """The threshold comes from calibration rows: languages that were learnt pass, others don't."""
+    r = random.Random(3)
+    rows = [(i, make(lang := r.choice(["aa", "bb"]), r), lang, "x", 0.5) for i in range(3000)]
+    other = ["zkryzw", "mlpqyk", "dźwięk", "wjqzxy", "pszczoła", "kwxyzq"]
+    odd = [(5000 + i, " ".join(r.choice(other) for _ in range(r.randint(5, 40))), None, "x", 0.5) for i in range(60)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string, lang_score double")
+    model = L.train(docs, rows=2000)
+    got = L.identify(docs, model).collect()
+    assert got[0].asDict().keys() == {"doc_id", "text", "lang", "source", "lang_pred", "lang_score", "lang_accepted"}
+    assert sum(g.lang_accepted for g in got if g.doc_id >= 5000) <= 3
+    assert sum(not g.lang_accepted for g in got if g.doc_id < 5000) <= 0.01 * 3000
+    assert model.least > 0.5
+
+
+def test_repeated_ids_are_learnt_once(spark):
+    """A hot id doesn't swell the sample that is fitted on; every one of its rows is scored."""
+    r = random.Random(5)
+    rows = [(i, make(lang := r.choice(["aa", "bb"]), r), lang) for i in range(200)] + [(7, "über schön nicht", "bb")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert L.sample_by_id(docs, 10**6).count() == 200
+    assert L.identify(docs, L.train(docs)).where("doc_id = 7 and lang_pred = 'bb'").count() >= 300
+
+
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     model = L.train(docs)

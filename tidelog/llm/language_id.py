@@ -15,10 +15,12 @@ from pyspark.sql import types as T
 from . import wordhash as W
 from .common import held_out, sample_by_id, table
 
-#: Rows that the classifier is fitted on (at most twice as many); everything is scored.
+#: Rows that the classifier is fitted on (about so many); everything is scored.
 TRAIN_ROWS = 3000
 BITS, DIM = 13, 16
 UNKNOWN = "und"
+#: The rejection threshold is this quantile of the scores of calibration rows.
+REJECTED = 0.001
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -100,7 +102,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fits on a bounded sample of the rows whose label may be learnt from. The last fifth of it
-    sets the temperature and the rejection threshold."""
+    sets the temperature (by likelihood) and the rejection threshold: the score that one in a thousand
+    of its rows falls below. What reaches the driver is at most six bytes a bucket for each row."""
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     got = sample_by_id(usable, rows).mapInArrow(_counts, "doc_id bigint, lang string, buckets binary, shares binary").toArrow()
     got = got.filter(pc.greater(pc.binary_length(got.column("buckets")), 0)).sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("buckets", "ascending")])
@@ -148,8 +151,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str
     nll = lambda t: -np.log(np.maximum(1e-12, _softmax(logits / t)[np.arange(len(dev)), y[dev]])).mean()
     model.heat = min((2.0**k for k in np.arange(-4, 4.25, 0.25)), key=nll)
     sure = _softmax(logits / model.heat).max(axis=1)
-    # Of rows of a learnt language at most one in a thousand is rejected, and none with an even chance.
-    model.least = float(min(0.5, np.quantile(sure, 0.001)))
+    model.least = float(np.quantile(sure, REJECTED, method="lower"))
     return model
 
 
@@ -179,4 +181,4 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs)
-    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_accepted")

@@ -22,7 +22,7 @@ STEMS = (5, 7)
 SHARE = 50.0
 #: Terms of fewer training rows than this have no weight: they would only name those rows. There is
 #: no bound on the number of terms.
-LEAST_ROWS = 8
+LEAST_ROWS = 4
 THRESHOLD = 0.5
 
 
