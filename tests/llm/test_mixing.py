@@ -44,7 +44,7 @@ def test_targets_and_balance(spark):
         for g in got:
             assert g.source_size == sizes[g.source] and abs(g.target - want[g.source]) <= 1e-6 * max(1, want[g.source])
         for s in sizes:
-            assert abs(taken[s] - want[s]) <= max(1, most[s]), (s, taken[s], want[s])
+            assert abs(taken[s] - want[s]) <= max(2, 0.005 * want[s]), (s, taken[s], want[s])
         again = M.mix(docs.repartition(2), block=64).collect()
         assert sorted(map(str, again)) == sorted(map(str, got))
 
@@ -59,6 +59,39 @@ def test_flight_keeps_counts_and_tokens():
     assert np.abs(mean - 0.4).max() < 0.05
 
 
+def test_settling_ends_with_the_smallest():
+    """One document of a fifth of the target among small ones: its rounding is made up for."""
+    rng = np.random.default_rng(3)
+    for k in range(50):
+        size = np.sort(np.concatenate([[20_020], rng.integers(20, 2000, 300)]))[::-1].astype(float)
+        chance = np.full(len(size), rng.uniform(0.1, 0.9))
+        p = M.settle(chance, size, rng)
+        assert set(p) <= {0.0, 1.0}
+        assert abs((p - chance) @ size) <= 2 + 0.0005 * (chance @ size)
+        assert abs((p - chance).sum()) <= 0.2 * len(size)
+    mean = np.mean([M.settle(np.full(60, 0.4), np.arange(60.0, 0, -1), np.random.default_rng(k)) for k in range(2000)], axis=0)
+    assert np.abs(mean[:40] - 0.4).max() < 0.06
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_evenly(spark):
+    """A third of all rows have the same (null) id and text: blocks stay small and reruns agree."""
+    data = [(None, "a b c", "s")] * 1000 + [(i, "w " * (1 + i % 9), "s" if i % 2 else "t") for i in range(2000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    rows = M.checkpoint(M.sized(docs.repartition(5)))
+    dealt = M.marked(rows)
+    assert dealt.count() == len(data) and dealt.select("mark").distinct().count() == len(data)
+    assert dealt.groupBy((M.F.abs("mark") % 16).alias("lot")).count().agg({"count": "max"}).first()[0] < 2 * len(data) / 16
+    one, two = (sorted(map(str, M.mix(docs.repartition(n), block=100).collect())) for n in (2, 5))
+    assert one == two and len(one) == len(data)
+
+
+def test_clashing_names_and_long_texts(spark):
+    data = [(i, "w " * (300_000 if i == 3 else 10), "s", 5, "x", 0.5) for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, size int, of string, target double")
+    got = {g.doc_id: g for g in M.mix(docs).collect()}
+    assert got[3].size == 300_000 and len(got) == 40 and sum(g.taken for g in got.values()) == 300_390
+
+
 def test_empty_and_sizeless(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert M.mix(docs).count() == 0
