@@ -1,8 +1,13 @@
 import hashlib
 import random
+import re
+
+import pytest
 
 from tidelog.llm import secret_scan as S
 
+WORDS = "alpha beta gamma delta house river garden window silver morning winter letter number music paper stone bridge forest market summer".split()
+
 
 def test_planted_secrets_are_found_and_look_alikes_are_not(spark):
     r = random.Random(3)
@@ -23,12 +28,80 @@ def test_planted_secrets_are_found_and_look_alikes_are_not(spark):
     model = S.train(S.labelled_findings(docs), words)
     out = S.scan(docs, model, words).collect()
     got = {(o.doc_id, o.candidate): o for o in out}
-    assert {k for k in got if k[0] is not None and k[0] < 900} == set(want)
+    assert set(want) <= set(got)
     right = sum(got[k].is_secret == v for k, v in want.items())
     assert right >= 0.97 * len(want)
     texts = dict(rows)
     assert all(texts[i][got[i, c].start - 1 :].startswith(c) and got[i, c].length == len(c) for i, c in want)
-    assert got[None, h(1)].is_secret and sum(o.doc_id == 902 for o in out) == 2 and not any(o.doc_id in (900, 901) for o in out)
+    assert sum(o.is_secret for o in out if o.doc_id is not None and o.doc_id < 900 and not want.get((o.doc_id, o.candidate))) <= 3
+    assert got[None, h(1)].is_secret and sum(o.doc_id == 902 for o in out) == 4000 and not any(o.doc_id in (900, 901) for o in out)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    docs = spark.createDataFrame([(i, " ".join(WORDS[(i * 7 + k * (1 + i % 5)) % len(WORDS)] for k in range(12))) for i in range(400)], "doc_id long, text string")
+    words = S.checkpoint(S.dictionary(docs))
+    return docs, words, S.train(S.labelled_findings(docs), words)
+
+
+def test_every_place_in_its_own_context(spark, fitted):
+    _, words, model = fitted
+    h = hashlib.sha1(b"x").hexdigest()
+    texts = [
+        (f'commit {h} and later token = "{h}"', [(h, False), (h, True)]), (f'token = "{h}" and again token = "{h}"', [(h, True), (h, True)]),
+        (f"see xx-{h} then password: {h}", [(f"xx-{h}", False), (h, True)]), ("garden password: hunter2secret9", [("hunter2secret9", True)]),
+        ("passphrase: correct-horse-battery-staple.", [("correct-horse-battery-staple", True)]), ('password = "qwmzkrtvbxnp"', [("qwmzkrtvbxnp", True)]),
+        ("postgres://admin:s3cr3tP4ss@host/db", [("s3cr3tP4ss", True)]), (f"my_api_key={h[:24]}", [(h[:24], True)]),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string")
+    out = S.scan(docs, model, words).orderBy("doc_id", "start").collect()
+    for k, (_, want) in enumerate(texts):
+        assert [(o.candidate, o.is_secret) for o in out if o.doc_id == k] == want, k
+        assert all(texts[k][0][o.start - 1 : o.start - 1 + o.length] == o.candidate for o in out if o.doc_id == k)
+        assert len({o.start for o in out if o.doc_id == k}) == len(want)
+
+
+def test_candidates_against_brute_force(spark):
+    """Every match of a plain scan, at its place, with what is around it."""
+    r = random.Random(9)
+    bits = ["é", " ", "\n", "token", "=", ": ", '"', "'", "abc12345", "x/y_9", "://u:", "@h", "pwd", "Bearer ", "zz99zz99zz", ".", "ünï", "-", "12345678"]
+    rows = [(i, "".join(r.choices(bits, k=r.randint(1, 40)))) for i in range(600)] + [(7, None), (8, ""), (9, "😀 token: é😀éaaa1")]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, start int, candidate string")
+    got = sorted((-1 if c.doc_id is None else c.doc_id, c.start, c.candidate) for c in S.candidates(docs).collect())
+    want = []
+    for i, t in rows:
+        for m in re.finditer(S.CANDIDATE, t or "", re.ASCII):
+            lead = (re.match(S.LEAD, m.group(), re.ASCII) or re.match("", "")).group()
+            body = m.group()[len(lead) :]
+            body = re.sub("[\"']$", "", body) if lead[-1:] in ("'", '"') and lead else re.sub(r"[.!?:]+$", "", body)
+            if body:
+                want.append((i, m.start() + len(lead) + 1, body))
+    assert got == sorted(want) and len(want) > 300
+
+
+def test_very_long_text(spark):
+    """Fifty thousand candidates in one text, and one run of a million characters."""
+    docs = spark.createDataFrame([(1, "key abcd1234 " * 50_000), (2, "a" * 1_000_000 + "1 " + "b" * 1_000_000)], "doc_id long, text string")
+    got = S.candidates(docs).groupBy("doc_id").agg(S.F.count("*").alias("n"), S.F.max("start").alias("last"), S.F.max(S.F.length("candidate")).alias("size")).orderBy("doc_id").collect()
+    assert [(g.n, g.last, g.size) for g in got] == [(50_000, 13 * 49_999 + 5, 8), (1, 1, 1_000_001)]
+
+
+def test_held_out_kinds(spark, fitted):
+    """Whole kinds of findings that the forest has not seen: their likes are judged right."""
+    docs, words, _ = fitted
+    made = S.checkpoint(S.labelled_findings(docs))
+    right = {}
+    for fold in range(4):
+        kinds = sorted(k.kind for k in made.select("kind").distinct().collect())[fold::4]
+        model = S.train(made.where(~S.F.col("kind").isin(kinds)), words, trees=20)
+        ready = S.VectorAssembler(inputCols=S.FEATURES, outputCol="features").transform(S.features(made.where(S.F.col("kind").isin(kinds)), words))
+        right |= {g.kind: g["right"] for g in model.transform(ready).groupBy("kind").agg(S.F.avg((S.F.col("prediction") == S.F.col("label")).cast("int")).alias("right")).collect()}
+    assert sum(right.values()) / len(right) >= 0.75, right
+
+
+def test_dictionary_counts_all_rows(spark):
+    docs = spark.createDataFrame([(i, f"Über house{i} tree tree w{chr(97 + i)}w") for i in range(7)] + [(9, None)], "doc_id long, text string")
+    assert {w.word for w in S.dictionary(docs, 5).collect()} == {"über", "tree"}
 
 
 def test_held_out_findings(spark):
@@ -42,4 +115,4 @@ def test_held_out_findings(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert S.scan(docs, S.train(S.labelled_findings(docs), S.dictionary(docs)), []).count() == 0
+    assert S.scan(docs, S.train(S.labelled_findings(docs), S.dictionary(docs)), S.dictionary(docs)).count() == 0
