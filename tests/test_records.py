@@ -34,6 +34,10 @@ def test_varints(spark):
     path = one(spark, R.message_path(F.unhex(F.lit("00AA"))))
     assert path.path == [0] and bytes(path.message) == b"\xaa"
     assert one(spark, R.message_path(F.unhex(F.lit("040200BB")))).path == [1, 0] and one(spark, R.message_path(F.unhex(F.lit("0402")))) is None
+    long = [2, 300, 0, 0, 0, 0, 0, 0, 0, 70000, 2**31 - 1]
+    there = one(spark, R.message_path(F.concat(R.write_path(F.array(*[F.lit(i) for i in long])), F.lit(b"\xbb"))))
+    assert there.path == long and bytes(there.message) == b"\xbb" and one(spark, R.write_path(F.array(F.lit(-1)))) is None
+    assert one(spark, R.message_path(F.unhex(F.lit("FEFFFFFF0F")))) is None and one(spark, R.message_path(F.unhex(F.lit("0100")))) is None
     assert one(spark, F.hex(R.write_path(F.array(F.lit(0))))) == "00" and one(spark, F.hex(R.write_path(F.array(F.lit(1), F.lit(0))))) == "040200"
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
-from tidelog.operators import models
+from tidelog.operators import models, placement
 from tidelog.plans.fixtures import event_log
 from tidelog.sources import logs
 from tidelog.streaming import flows
@@ -69,6 +69,46 @@ def test_ledger_state_and_deferral(spark, tmp_path):
     assert due[0] == ("b", 9) and sorted(due) == sorted([(k, o) for k, o, _ in rows] + [("a", 2)])
 
 
+def test_deferral_keeps_microseconds_and_spreads_keyless_rows(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = spark.range(40).select(F.when(F.col("id") < 2, "k").alias("key"), "id", F.expr("timestamp_micros(1700000000123456 + id)").alias("at"), F.encode(F.lit("é"), "UTF-8").alias("value"), (F.col("id") % 2 * 800).alias("delay_ms"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    query = flows.deferred(stream).writeStream.format("memory").queryName("waited").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="200 milliseconds").start()
+    end = time.time() + 120
+    while time.time() < end and spark.table("waited").count() < 40:
+        time.sleep(1)
+    query.stop()
+    out = spark.table("waited")
+    assert sorted(out.select("id", F.unix_micros("at").alias("us")).collect()) == [(i, 1700000000123456 + i) for i in range(40)]
+    assert out.where("value = X'C3A9'").count() == 40
+
+
+def test_placement_on_a_stream_keeps_every_row(spark, tmp_path):
+    rows = spark.range(200).select(F.lit("t").alias("topic"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string").cast("binary")).alias("key"), F.when(F.col("id") % 10 == 1, 3).alias("pin"), "id")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    placement.place(stream, 4, ["id"], pin="pin").writeStream.format("memory").queryName("placed").outputMode("append").trigger(availableNow=True).start().awaitTermination(120)
+    got = {r.id: r for r in spark.table("placed").collect()}
+    assert len(got) == 200 and all(g.partition == 3 for g in got.values() if g.pin) and {g.partition for g in got.values() if not g.pin and not g.key} == {0, 1, 2, 3}
+    same = {r.id: r.partition for r in placement.place(rows, 4, ["id"], pin="pin").collect()}
+    assert all(got[i].partition == same[i] for i in got if got[i].key or got[i].pin)
+
+
+def test_model_starts_over_on_a_newer_revision(spark, tmp_path):
+    schema = "topic string, partition int, offset bigint, revision int, account string, amount double"
+    parts = [[(0, 1, "a", 5.0), (1, 1, "b", 1.0)], [(2, 1, "a", 2.0)], [(3, 2, "a", 1.0)], [(4, 2, "b", 4.0)]]
+    want = [{"a": 5.0, "b": 1.0}, {"a": 7.0, "b": 1.0}, {"a": 8.0, "b": 1.0}, {"a": 8.0, "b": 5.0}]
+    for part in parts:
+        spark.createDataFrame([("t", 0, *r) for r in part], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+    flows.rebuilding_model(stream, lambda: spark.read.parquet(f"{tmp_path}/log"), f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination(180)
+    for k, balances in enumerate(want):
+        model = spark.read.parquet(f"{tmp_path}/out/model/batch_id={k}").collect()
+        assert {r.account: r.balance for r in model} == balances and {r.revision for r in model} == {1 if k < 2 else 2}
+
+
 def test_rebuild_gate(spark):
     batch = spark.createDataFrame(pd.DataFrame({"revision": [3, 5]}))
     assert models.needs_rebuild(4, batch) and not models.needs_rebuild(5, batch) and models.needs_rebuild(None, batch)

@@ -144,9 +144,10 @@ def union_branch(datum) -> Column:
     return F.when(v >= 0, v)
 
 
-def message_path(datum, most: int = 8) -> Column:
+def message_path(datum) -> Column:
     """STRUCT<path ARRAY<INT>, message BINARY> of a message-index path and what follows it; a count of
-    0 means [0]; null where the path is truncated or has more than `most` steps."""
+    0 means [0]; null where the path is truncated or its count is negative. Each step takes a byte at
+    least, so a count beyond the datum's bytes is known to be truncated."""
     datum = _c(datum)
     head = read_zigzag(datum)
     seed = F.struct(F.array().cast("array<int>").alias("path"), head["next"].alias("next"), (head["value"] >= 0).alias("ok"))
@@ -154,21 +155,32 @@ def message_path(datum, most: int = 8) -> Column:
     def step(acc, i):
         v = read_zigzag(datum, acc["next"])
         grown = F.struct(F.concat(acc["path"], F.array(v["value"].cast("int"))).alias("path"), v["next"].alias("next"), v.isNotNull().alias("ok"))
-        return F.when((i > head["value"]) | ~acc["ok"], acc).otherwise(grown)
+        return F.when(acc["ok"], grown).otherwise(acc)
 
-    out = F.aggregate(F.sequence(F.lit(1), F.lit(most)), seed, step)
+    fits = (head["value"] > 0) & (head["value"] <= F.octet_length(datum))
+    steps = F.when(fits, F.sequence(F.lit(1), head["value"].cast("int"))).otherwise(F.array().cast("array<int>"))
+    out = F.aggregate(steps, seed, step)
     path = F.when(head["value"] == 0, F.array(F.lit(0))).otherwise(out["path"])
-    good = head.isNotNull() & (head["value"] >= 0) & (head["value"] <= most) & out["ok"]
+    good = (head["value"] == 0) | (fits & out["ok"])
     return F.when(good, F.struct(path.alias("path"), datum.substr(out["next"], F.octet_length(datum) + 1).alias("message")))
 
 
+def write_zigzag(n) -> Column:
+    """The zig-zag varint of a bigint: seven bits a byte, the lowest first."""
+    n = _c(n).cast("bigint")
+    bits = F.call_function("shiftleft", n, F.lit(1)).bitwiseXOR(F.call_function("shiftright", n, F.lit(63)))
+    left = lambda i: F.call_function("shiftrightunsigned", bits, i * 7)
+    byte = lambda i: left(i).bitwiseAND(F.lit(127).cast("bigint")).bitwiseOR(F.when((i < 9) & (left(i + 1) != 0), F.lit(128)).otherwise(F.lit(0)).cast("bigint"))
+    some = F.filter(F.sequence(F.lit(0), F.lit(9)), lambda i: (i == 0) | (left(i) != 0))
+    return F.unhex(F.array_join(F.transform(some, lambda i: F.lpad(F.hex(byte(i)), 2, "0")), ""))
+
+
 def write_path(path) -> Column:
-    """The path's bytes for indexes of 0 to 63; [0] is one zero byte."""
+    """The path's bytes: its length and its indexes as varints; [0] is one zero byte. Null where an index
+    is negative."""
     path = _c(path)
-    byte = lambda n: F.unhex(F.lpad(F.hex((n * 2).cast("bigint")), 2, "0"))
-    small = F.forall(path, lambda i: (i >= 0) & (i < 64)) & (F.size(path) < 64)
-    whole = F.aggregate(path, byte(F.size(path)), lambda acc, i: F.concat(acc, byte(i)))
-    return F.when(path == F.array(F.lit(0)), F.lit(b"\x00")).when(small, whole)
+    whole = F.concat(write_zigzag(F.size(path)), F.unhex(F.array_join(F.transform(path, lambda i: F.hex(write_zigzag(i))), "")))
+    return F.when(path == F.array(F.lit(0)), F.lit(b"\x00")).when(F.forall(path, lambda i: i >= 0), whole)
 
 
 def delivery_ordinal(headers) -> Column:

@@ -14,82 +14,181 @@ from tidelog.sources.checkpoints import checkpoint
 LEVELS = ("NONE", "BACKWARD", "BACKWARD_TRANSITIVE", "FORWARD", "FORWARD_TRANSITIVE", "FULL", "FULL_TRANSITIVE")
 
 
-def _core(t: Column) -> Column:
-    """STRUCT<core VARIANT, nullable BOOLEAN> of an Avro type: a union of null and one other is that one,
-    nullable; any other union stays."""
-    branches = F.try_variant_get(t, "$", "array<variant>")
-    rest = F.filter(branches, lambda b: ~(_is_text(b) & (F.coalesce(_text(b, "$"), F.lit("")) == "null")))
-    null_too = branches.isNotNull() & (F.size(rest) < F.size(branches))
-    core = F.when(branches.isNotNull() & (F.size(rest) == 1), F.get(rest, F.lit(0))).otherwise(t)
-    return F.struct(core.alias("core"), null_too.alias("nullable"))
+PRIMITIVES = ("null", "boolean", "int", "long", "float", "double", "bytes", "string")
+SLOT = "struct<key:string,path:string,up:string,up_kind:string,t:variant,has_default:boolean>"
+
+
+def _part(v: Column, path: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, path, kind)
+
+
+def _branches(t: Column, json: Column) -> Column:
+    """The types that a slot holds, as variants, null among them: of an Avro union its branches."""
+    union = _part(t, "$", "array<variant>")
+    return F.when(~json & union.isNotNull(), union).otherwise(F.array(t))
+
+
+def _kinds(t: Column, json: Column) -> Column:
+    """Types in words. Avro: a primitive, `record Name`, `enum Name`, `fixed Name size`, array, map, or
+    a name given elsewhere; names unqualified, as readers compare them. JSON: the names under `type`,
+    `any` or `never` where a schema says nothing or refuses everything."""
+    short = lambda n: F.substring_index(n, ".", -1)
+
+    def avro(b: Column) -> Column:
+        kind, name = _text(b, "$.type"), short(_text(b, "$.name"))
+        named = F.when(kind.isin("record", "enum"), F.concat_ws(" ", kind, name)).when(kind == "fixed", F.concat_ws(" ", kind, name, _text(b, "$.size"))).otherwise(kind)
+        return F.when(_is_text(b), short(_text(b, "$"))).otherwise(named)
+
+    many = _part(t, "$.type", "array<string>")
+    lone = F.when(_text(t, "$") == "false", "never").otherwise(F.coalesce(_text(t, "$.type"), F.when(_part(t, "$.properties").isNotNull(), "object").when(_part(t, "$.enum").isNotNull(), "string").otherwise("any")))
+    return F.when(json, F.coalesce(many, F.array(lone))).otherwise(F.transform(_branches(t, json), avro))
+
+
+def _children(slot: Column, json: Column) -> Column:
+    """The slots right below a slot. A child's key names the types it is reached by, so that the same
+    field is met whether or not one side wraps its record in a union; its path does so in unions only."""
+    t, path = slot["t"], slot["path"]
+    dot = F.when(path == "", path).otherwise(F.concat(path, F.lit(".")))
+
+    def made(kind, key, at, child, optional):
+        return F.struct(
+            F.concat(slot["key"], F.lit("|"), kind, key).alias("key"), at.alias("path"), slot["key"].alias("up"), kind.alias("up_kind"), child.alias("t"), optional.alias("has_default"),
+        ).cast(SLOT)
+
+    def avro(b: Column, kind: Column, inside: Column) -> Column:
+        base = F.when(inside, F.concat(path, F.lit("|"), kind)).otherwise(path)
+        stem = F.when(base == "", base).otherwise(F.concat(base, F.lit(".")))
+        field = lambda f: made(kind, F.concat(F.lit("."), _text(f, "$.name")), F.concat(stem, _text(f, "$.name")), _part(f, "$.type"), _part(f, "$.default").isNotNull())
+        lone = lambda name, mark: F.array(made(kind, F.lit(mark), F.concat(base, F.lit(mark)), _part(b, f"$.{name}"), F.lit(False)))
+        what = _text(b, "$.type")
+        fields = F.transform(_part(b, "$.fields", "array<variant>"), field)
+        return F.when(what == "record", fields).when(what == "array", lone("items", "[]")).when(what == "map", lone("values", "{}"))
+
+    branches = _branches(t, json)
+    inside = F.size(F.filter(branches, lambda b: F.coalesce(_text(b, "$"), F.lit("")) != "null")) > 1
+    below = F.transform(F.zip_with(branches, _kinds(t, json), lambda b, k: F.struct(b.alias("b"), k.alias("k"))), lambda x: F.coalesce(avro(x["b"], x["k"], inside), F.array().cast(f"array<{SLOT}>")))
+    needed = F.coalesce(_part(t, "$.required", "array<string>"), F.array().cast("array<string>"))
+    of_object = lambda key, at, child, optional: made(F.lit("object"), key, at, child, optional)
+    properties = F.transform(F.map_entries(_part(t, "$.properties", "map<string,variant>")), lambda e: of_object(F.concat(F.lit("."), e["key"]), F.concat(dot, e["key"]), e["value"], ~F.array_contains(needed, e["key"])))
+    extra, items = _part(t, "$.additionalProperties"), _part(t, "$.items")
+    more = F.when(_part(extra, "$", "map<string,variant>").isNotNull(), F.array(of_object(F.lit("{}"), F.concat(path, F.lit("{}")), extra, F.lit(True))))
+    each = F.when(items.isNotNull(), F.array(made(F.lit("array"), F.lit("[]"), F.concat(path, F.lit("[]")), items, F.lit(True))))
+    none = F.array().cast(f"array<{SLOT}>")
+    return F.when(json, F.concat(F.coalesce(properties, none), F.coalesce(more, none), F.coalesce(each, none))).otherwise(F.flatten(below))
+
+
+def _slots(schemas: DataFrame, depth: int) -> DataFrame:
+    """A row for each slot of each Avro and JSON version: subject, version, key, path, up and up_kind (the
+    slot and type that it lies in), kinds (its types but null), nullable, has_default, symbols, fallback
+    (an enum's default reads unknown symbols), closed, ref (named elsewhere) and deep.
+
+    Each definition is parsed once and its levels are unfolded within the row."""
+    json = F.col("schema_type") == "JSON"
+    root = F.struct(F.lit("").alias("key"), F.lit("").alias("path"), F.lit(None).cast("string").alias("up"), F.lit(None).cast("string").alias("up_kind"), F.try_parse_json("definition").alias("t"), F.lit(False).alias("has_default"))
+    df = schemas.where("schema_type in ('AVRO', 'JSON')").select("subject", "version", "schema_type", F.array(root.cast(SLOT)).alias("l0"))
+    for k in range(depth):
+        df = df.withColumn(f"l{k + 1}", F.flatten(F.transform(f"l{k}", lambda s: _children(s, json))))
+    tagged = lambda k: F.transform(f"l{k}", lambda s: F.struct(s.alias("s"), F.lit(k == depth).alias("last")))
+    levels = F.concat(*[tagged(k) for k in range(depth + 1)])
+    named = F.flatten(F.transform(F.concat(*[f"l{k}" for k in range(depth + 1)]), lambda s: F.filter(_kinds(s["t"], json), lambda k: ~json & k.contains(" "))))
+    df = df.select("subject", "version", "schema_type", named.alias("named"), F.explode(levels).alias("x")).select("subject", "version", "schema_type", "named", "x.last", "x.s.*")
+    df = df.withColumn("said", _kinds(F.col("t"), json))
+    known = lambda k: F.coalesce(F.get(F.filter("named", lambda n: F.split(n, " ")[1] == k), F.lit(0)), k)
+    elsewhere = lambda k: ~json & ~k.contains(" ") & ~k.isin(*PRIMITIVES, "array", "map")
+    enums = F.filter(_branches(F.col("t"), json), lambda b: F.when(json, F.lit(True)).otherwise(_text(b, "$.type") == "enum"))
+    names = lambda b: F.coalesce(F.when(json, _part(b, "$.enum", "array<string>")).otherwise(_part(b, "$.symbols", "array<string>")), F.array().cast("array<string>"))
+    return df.select(
+        "subject", "version", json.alias("json"), "key", "path", "up", "up_kind",
+        F.transform(F.filter("said", lambda k: k != "null"), lambda k: F.when(elsewhere(k), known(k)).otherwise(k)).alias("kinds"),
+        F.array_contains("said", "null").alias("nullable"), "has_default", F.array_sort(F.flatten(F.transform(enums, names))).alias("symbols"),
+        F.exists(enums, lambda b: ~json & _part(b, "$.default").isNotNull()).alias("fallback"), F.coalesce(_text(F.col("t"), "$.additionalProperties") == "false", F.lit(False)).alias("closed"),
+        F.exists("said", elsewhere).alias("ref"), (F.col("last") & (F.size(_children(F.struct("key", "path", "up", "up_kind", "t", "has_default"), json)) > 0)).alias("deep"),
+    )
 
 
-def _kind(core: Column) -> Column:
-    """Type in words: a primitive, `record Name`, `enum Name`, `fixed Name size`, array, map or union; names
-    unqualified, as readers compare them."""
-    kind, name = _text(core, "$.type"), F.substring_index(_text(core, "$.name"), ".", -1)
-    named = F.when(kind.isin("record", "enum"), F.concat_ws(" ", kind, name)).when(kind == "fixed", F.concat_ws(" ", kind, name, _text(core, "$.size"))).otherwise(kind)
-    return F.when(F.try_variant_get(core, "$", "array<variant>").isNotNull(), "union").when(_is_text(core), _text(core, "$")).otherwise(named)
+def schema_fields(schemas: DataFrame, depth: int = 6) -> DataFrame:
+    """(subject, version, path, type, nullable, has_default, symbols) of every Avro and JSON version.
 
+    Items of arrays and values of maps have the path `x[]` and `x{}`, what lies in a branch of a union
+    `x|record Name`. type: the types but null, joined by `|`; symbols: an enum's, sorted, joined by
+    commas. has_default: of JSON properties whether they may be absent. A type that goes deeper than
+    `depth` levels ends in a row of type `too deep`; one named elsewhere in its schema, as a recursive
+    one is, is not followed."""
+    slots = _slots(schemas, depth)
+    own = F.struct("path", F.array_join("kinds", "|").alias("type"), "nullable", "has_default", F.when(F.size("symbols") > 0, F.array_join("symbols", ",")).alias("symbols"))
+    no = F.lit(False)
+    deeper = F.struct(F.concat("path", F.lit(".*")).alias("path"), F.lit("too deep").alias("type"), no.alias("nullable"), no.alias("has_default"), F.lit(None).cast("string").alias("symbols"))
+    return slots.select("subject", "version", F.explode(F.when(F.col("deep"), F.array(own, deeper)).otherwise(F.array(own))).alias("x")).select("subject", "version", "x.*")
 
-def schema_fields(schemas: DataFrame, depth: int = 6) -> DataFrame:
-    """(subject, version, path, type, nullable, has_default) of every Avro record version. Items of arrays
-    and values of maps have the path `x[]` and `x{}`. A type that goes deeper than `depth` levels, as a
-    recursive one may, ends in a row of type `too deep`."""
-    root = F.try_parse_json("definition")
-    level = schemas.where("schema_type = 'AVRO'").select("subject", "version", F.lit("").alias("path"), root.alias("core"), F.lit(False).alias("nullable"), F.lit(False).alias("has_default"))
-    out = [level.select("subject", "version", "path", _kind(F.col("core")).alias("type"), "nullable", "has_default")]
-    for _ in range(depth):
-        kind, dot = _text(F.col("core"), "$.type"), F.concat("path", F.when(F.col("path") == "", "").otherwise("."))
-        child = lambda path, t, default: F.struct(path.alias("path"), t.alias("t"), default.alias("has_default"))
-        of_record = F.transform(F.try_variant_get("core", "$.fields", "array<variant>"), lambda f: child(F.concat(dot, _text(f, "$.name")), F.try_variant_get(f, "$.type", "variant"), F.try_variant_get(f, "$.default", "variant").isNotNull()))
-        lone = lambda key, mark: F.array(child(F.concat("path", F.lit(mark)), F.try_variant_get("core", f"$.{key}", "variant"), F.lit(False)))
-        children = F.when(kind == "record", of_record).when(kind == "array", lone("items", "[]")).when(kind == "map", lone("values", "{}"))
-        level = level.select("subject", "version", F.explode(children).alias("x")).select("subject", "version", "x.*")
-        level = level.withColumn("c", _core(F.col("t"))).select("subject", "version", "path", "c.core", "c.nullable", "has_default")
-        out.append(level.select("subject", "version", "path", _kind(F.col("core")).alias("type"), "nullable", "has_default"))
-    deep = level.where(_text(F.col("core"), "$.type").isin("record", "array", "map")).select("subject", "version", F.concat("path", F.lit(".*")).alias("path"), F.lit("too deep").alias("type"), F.lit(False).alias("nullable"), F.lit(False).alias("has_default"))
-    return reduce(DataFrame.unionByName, [*out, deep])
 
+#: Schema sets are written by hand; more than this are refused.
+MOST_SETS = 10_000
 
 #: Writer type -> reader types that read it, besides itself.
-PROMOTES = {"int": ("long", "float", "double"), "long": ("float", "double"), "float": ("double",), "string": ("bytes",), "bytes": ("string",)}
+PROMOTES = {"int": ("long", "float", "double"), "long": ("float", "double"), "float": ("double",), "string": ("bytes",), "bytes": ("string",), "integer": ("number",)}
+
+
+def _unread(writer: str, reader: str) -> Column:
+    """The first of a writer's types that none of the reader's types reads; null where all are read."""
+
+    def reads(w: Column, r: Column) -> Column:
+        ok = (w == r) | (r == "any")
+        for one, more in PROMOTES.items():
+            ok = ok | ((w == one) & r.isin(*more))
+        return ok
+
+    return F.get(F.filter(writer, lambda w: ~F.exists(reader, lambda r: reads(w, r))), F.lit(0))
 
 
 def compatibility_audit(schemas: DataFrame, levels: DataFrame, depth: int = 6) -> DataFrame:
     """(subject, new_version, old_version, direction, ok, problems): each version against the earlier ones
     its subject's level names (the latest of them, or all where transitive; undeclared: BACKWARD; NONE:
     no rows). backward: the new schema reads what the old wrote; forward: the other way round. A
-    resolution that fails for only some values fails."""
-    fields = checkpoint(schema_fields(schemas, depth))  # it is read three times
-    v = schemas.where("schema_type = 'AVRO'").select("subject", "version").distinct()
-    level = F.coalesce("level", F.lit("BACKWARD"))
-    pairs = v.withColumnRenamed("version", "new_version").join(v.withColumnRenamed("version", "old_version"), "subject").where("old_version < new_version")
-    pairs = pairs.join(levels.select("subject", "level"), "subject", "left").withColumn("level", level).where("level <> 'NONE'")
+    resolution that fails for only some values fails.
+
+    Avro: every branch of a writer's union has to be read by some type of the reader, every symbol by
+    the reader's enum unless that has a default. JSON: types, null, enums, properties required of the
+    writer or refused by a closed object. Where either side goes deeper than `depth` and no problem is
+    found above, ok is null and the problem says so."""
+    slots = checkpoint(_slots(schemas, depth))  # it is read four times
+    v = slots.groupBy("subject", "version").agg(F.bool_or("deep").alias("deep"))
+    pairs = v.withColumnsRenamed({"version": "new_version", "deep": "new_deep"}).join(v.withColumnsRenamed({"version": "old_version", "deep": "old_deep"}), "subject").where("old_version < new_version")
+    pairs = pairs.join(levels.select("subject", "level"), "subject", "left").withColumn("level", F.coalesce("level", F.lit("BACKWARD"))).where("level <> 'NONE'")
     newest = F.max("old_version").over(Window.partitionBy("subject", "new_version"))
     pairs = pairs.withColumn("_top", newest).where(F.col("level").endswith("_TRANSITIVE") | (F.col("old_version") == F.col("_top")))
-    ways = F.when(F.col("level").startswith("FULL"), F.array(F.lit("backward"), F.lit("forward"))).when(F.col("level").startswith("FORWARD"), F.array(F.lit("forward"))).otherwise(F.array(F.lit("backward")))
-    pairs = pairs.select("subject", "new_version", "old_version", F.explode(ways).alias("direction"))
+    backward, forward = F.lit("backward"), F.lit("forward")
+    ways = F.when(F.col("level").startswith("FULL"), F.array(backward, forward)).when(F.col("level").startswith("FORWARD"), F.array(forward)).otherwise(F.array(backward))
+    pairs = pairs.select("subject", "new_version", "old_version", (F.col("new_deep") | F.col("old_deep")).alias("deep"), F.explode(ways).alias("direction"))
     back = F.col("direction") == "backward"
     pairs = pairs.withColumns({"reader": F.when(back, F.col("new_version")).otherwise(F.col("old_version")), "writer": F.when(back, F.col("old_version")).otherwise(F.col("new_version"))})
     keys = ["subject", "new_version", "old_version", "direction"]
-    reads = pairs.join(fields.withColumnRenamed("version", "reader"), ["subject", "reader"]).select(*keys, "writer", "path", F.col("type").alias("rt"), F.col("nullable").alias("rn"), F.col("has_default").alias("rd"))
-    writes = fields.select("subject", F.col("version").alias("writer"), "path", F.col("type").alias("wt"), F.col("nullable").alias("wn"))
-    parent = F.regexp_extract("path", r"^(.*?)(\.[^.]*|\[\]|\{\})?$", 1)
-    parent = F.when(F.col("path").rlike(r"[.\[{]"), parent).otherwise(F.lit(""))
-    above = writes.select("subject", "writer", F.col("path").alias("_up"), F.lit(True).alias("up"))
-    met = reads.join(writes, ["subject", "writer", "path"], "left").withColumn("_up", parent).join(above, ["subject", "writer", "_up"], "left")
-    wider = F.lit(False)
-    for w, rs in PROMOTES.items():
-        wider = wider | ((F.col("wt") == w) & F.col("rt").isin(*rs))
+    side = lambda name: pairs.join(slots.withColumnRenamed("version", name), ["subject", name])
+    r = side("reader").select(*keys, "key", F.struct("json", "path", "kinds", "nullable", "has_default", "symbols", "fallback", "closed", "up", "up_kind", "ref").alias("r"))
+    w = side("writer").select(*keys, "key", F.struct("path", "kinds", "nullable", "has_default", "symbols", "closed", "up", "up_kind", "ref").alias("w"))
+    # What lies above a slot that only one side has: the other side's slot there.
+    met = r.join(w, [*keys, "key"], "full_outer").withColumn("up", F.coalesce("r.up", "w.up"))
+    met = met.join(w.select(*keys, F.col("key").alias("up"), F.struct("w.kinds", "w.ref").alias("wu")), [*keys, "up"], "left").join(r.select(*keys, F.col("key").alias("up"), F.struct("r.kinds", "r.closed", "r.json").alias("ru")), [*keys, "up"], "left")
+    say = lambda *parts: F.concat(F.coalesce("r.path", "w.path"), F.lit(": "), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    unread = _unread("w.kinds", "r.kinds")
+    symbol = F.get(F.array_except("w.symbols", "r.symbols"), F.lit(0))
+    listed = F.size("r.symbols") > 0
     problem = (
-        F.when(F.col("wt").isNull() & F.col("up").isNotNull() & ~F.col("rd"), F.concat("path", F.lit(": the writer lacks it and it has no default")))
-        .when(F.col("wt").isNull(), F.lit(None).cast("string"))
-        .when((F.col("rt") != F.col("wt")) & ~wider, F.concat("path", F.lit(": "), "wt", F.lit(" is not read as "), "rt"))
-        .when(F.col("wn") & ~F.col("rn"), F.concat("path", F.lit(": the writer may write null")))
+        F.when(F.col("w").isNull() & F.array_contains("wu.kinds", F.col("r.up_kind")) & ~F.col("wu.ref") & ~F.col("r.has_default"), say("the writer lacks it and it has no default"))
+        .when(F.col("w").isNull(), F.lit(None).cast("string"))
+        .when(F.col("r").isNull() & F.col("ru.closed") & F.array_contains("ru.kinds", F.col("w.up_kind")), say("the reader's object is closed and lacks it"))
+        .when(F.col("r").isNull(), F.lit(None).cast("string"))
+        .when(unread.isNotNull(), say(unread, " is not read as ", F.array_join("r.kinds", "|")))
+        .when(F.col("w.nullable") & ~F.col("r.nullable") & ~F.array_contains("r.kinds", "any"), say("the writer may write null"))
+        .when(F.col("r.json") & ~F.col("r.has_default") & F.col("w.has_default"), say("the writer may leave it out"))
+        .when(F.col("r.closed") & ~F.col("w.closed") & F.array_contains("w.kinds", "object"), say("the reader's object is closed and the writer's is open"))
+        .when(listed & (F.size("w.symbols") == 0) & F.col("r.json"), say("the writer may write other values than the enum's"))
+        .when(listed & symbol.isNotNull() & ~F.col("r.fallback"), say("symbol ", symbol, " is not read"))
     )
-    found = met.withColumn("problem", problem).groupBy(*keys).agg(F.array_sort(F.collect_list("problem")).alias("problems"))
-    return found.select(*keys, (F.size("problems") == 0).alias("ok"), "problems")
+    found = met.withColumn("problem", problem).groupBy(*keys).agg(F.array_sort(F.collect_list("problem")).alias("found"))
+    found = pairs.select(*keys, "deep").join(found, keys)
+    none = F.size("found") == 0
+    verdict = F.when(none & F.col("deep"), F.lit(None).cast("boolean")).otherwise(none)
+    return found.select(*keys, verdict.alias("ok"), F.when(none & F.col("deep"), F.array(F.lit("too deep to tell"))).otherwise(F.col("found")).alias("problems"))
 
 
 def topic_coverage(topics: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -110,10 +209,15 @@ def topic_coverage(topics: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def schema_sets(topics: DataFrame, sets: DataFrame) -> DataFrame:
-    """(topic, set): the first set, by ordinal, whose pattern the topic matches; null: unchecked. The sets
-    are a list by hand, so the join by pattern broadcasts them."""
-    hits = topics.select("topic").join(F.broadcast(sets.select("ordinal", "pattern", "set")), F.expr("topic rlike pattern"), "left")
-    return hits.groupBy("topic").agg(F.min_by("set", "ordinal").alias("set"))
+    """(topic, set): the first set, by ordinal, whose pattern the topic matches; null: unchecked. The
+    sets are a list written by hand: up to MOST_SETS are gathered in one row that goes to every topic;
+    more is an error, as a pattern can only be tried against each topic."""
+    if sets.limit(MOST_SETS + 1).count() > MOST_SETS:
+        raise ValueError(f"more than {MOST_SETS} schema sets")
+    known = sets.agg(F.array_sort(F.collect_list(F.struct("ordinal", "pattern", "set"))).alias("_sets"))
+    rows = topics.select("topic").distinct().join(F.broadcast(known))
+    first = F.expr("get(filter(_sets, s -> topic rlike s.pattern), 0)")
+    return rows.select("topic", first["set"].alias("set"))
 
 
 def drift(migrations: DataFrame, versions: DataFrame) -> DataFrame:
@@ -148,38 +252,73 @@ def equal_schemas(schemas: DataFrame) -> DataFrame:
 def payload_conformance(df: DataFrame, shape: list[dict], closed: bool = False, value: str = "value", ids: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
     """(ids, path, problem): a row for each violation of a declared shape.
 
-    shape: dicts with path (top-level or dotted), type (int, number, string, bool, array, object),
-    required, nullable, min, max, enum. Problems: not_json, missing, null, kind, range, enum and, where
-    the object is closed, undeclared. For an array, `items` names the type of its items.
+    shape: dicts with path (top-level or dotted), type (int, number, string, bool, array, object, map),
+    required, nullable, min, max, enum, closed. Problems: not_json, missing, null, kind, range, enum,
+    item and, where the object is closed, undeclared: `closed` is for the document, a shape's own for
+    the object at its path. For an array `items` names the type of its items, for a map `values` that of
+    its values. Integers are whole numbers up to 20 digits and bounds compare as decimals, so that
+    neither loses digits.
     """
     doc = df.withColumn("_v", F.try_parse_json(F.col(value).cast("string")))
-    kinds = {"int": ("BIGINT",), "number": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "string": ("STRING",), "bool": ("BOOLEAN",), "array": ("ARRAY",), "object": ("OBJECT",)}
+    kinds = {"number": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "string": ("STRING",), "bool": ("BOOLEAN",), "array": ("ARRAY",), "object": ("OBJECT",), "map": ("OBJECT",)}
+    no = F.lit(None).cast("string")
 
     def is_kind(v: Column, kind: str) -> Column:
         said = F.schema_of_variant(v)
+        if kind == "int":
+            return (said == "BIGINT") | F.coalesce(said.rlike(r"^DECIMAL\(\d+,0\)$") & F.try_variant_get(v, "$", "decimal(20,0)").isNotNull(), F.lit(False))
         return reduce(lambda a, b: a | b, [said.startswith(k) for k in kinds[kind]])
 
+    def beyond(v: Column, low, high) -> Column:
+        """As decimals where the number is one of 38 digits, else as doubles."""
+        exact, rough = F.try_variant_get(v, "$", "decimal(38,6)"), F.try_variant_get(v, "$", "double")
+        out = F.lit(False)
+        for bound, below in ((low, True), (high, False)):
+            if bound is not None:
+                held = F.lit(str(bound)).cast("decimal(38,6)")
+                out = out | F.coalesce(exact < held if below else exact > held, rough < float(bound) if below else rough > float(bound))
+        return out
+
+    def keys(path: str) -> Column:
+        text = F.col(value).cast("string")
+        return F.coalesce(F.json_object_keys(F.get_json_object(text, f"$.{path}") if path else text), F.array().cast("array<string>"))
+
     found = [F.when(F.col("_v").isNull(), F.struct(F.lit("$").alias("path"), F.lit("not_json").alias("problem")))]
+    lists = []
     for s in shape:
         v = F.try_variant_get("_v", f"$.{s['path']}", "variant")
-        there, null = v.isNotNull(), F.is_variant_null(v)
-        bad = F.when(~there, F.lit("missing") if s.get("required") else F.lit(None).cast("string")).when(null, F.lit(None).cast("string") if s.get("nullable") else F.lit("null")).when(~is_kind(v, s["type"]), "kind")
+        bad = F.when(v.isNull(), F.lit("missing") if s.get("required") else no).when(F.is_variant_null(v), no if s.get("nullable") else F.lit("null")).when(~is_kind(v, s["type"]), "kind")
         if "min" in s or "max" in s:
-            n = F.try_variant_get(v, "$", "double")
-            bad = bad.when((n < F.lit(s.get("min", float("-inf")))) | (n > F.lit(s.get("max", float("inf")))), "range")
+            bad = bad.when(beyond(v, s.get("min"), s.get("max")), "range")
         if "enum" in s:
             bad = bad.when(~_text(v, "$").isin(s["enum"]), "enum")
-        if "items" in s:
-            bad = bad.when(F.exists(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.is_variant_null(x) | ~is_kind(x, s["items"])), "item")
+        parts = {"items": lambda v: F.try_variant_get(v, "$", "array<variant>"), "values": lambda v: F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))}
+        for name, of in parts.items():
+            if name in s:
+                bad = bad.when(_some_bad(of(v), is_kind, s[name]), "item")
         found.append(F.when(F.col("_v").isNotNull() & bad.isNotNull(), F.struct(F.lit(s["path"]).alias("path"), bad.alias("problem"))))
-    all_ = F.filter(F.array(*found), lambda x: x.isNotNull())
-    if closed:
-        names = [s["path"].split(".")[0] for s in shape]
-        extra = F.filter(F.coalesce(F.json_object_keys(F.col(value).cast("string")), F.array().cast("array<string>")), lambda k: ~k.isin(names))
-        all_ = F.concat(all_, F.transform(extra, lambda k: F.struct(k.alias("path"), F.lit("undeclared").alias("problem"))))
+    objects = ([""] if closed else []) + [s["path"] for s in shape if s.get("closed")]
+    for path in objects:
+        lead = f"{path}." if path else ""
+        names = {s["path"][len(lead) :].split(".")[0] for s in shape if s["path"].startswith(lead) and s["path"] != path}
+        extra = F.filter(keys(path), _outside(sorted(names)))
+        lists.append(F.transform(extra, _undeclared(lead)))
+    all_ = F.concat(F.filter(F.array(*found), lambda x: x.isNotNull()), *lists)
     return doc.select(*ids, F.explode(all_).alias("x")).select(*ids, "x.path", "x.problem")
 
 
+def _some_bad(values: Column, is_kind, kind: str) -> Column:
+    return F.exists(values, lambda x: F.is_variant_null(x) | ~is_kind(x, kind))
+
+
+def _outside(names: list[str]):
+    return lambda k: ~k.isin(names) if names else F.lit(True)
+
+
+def _undeclared(lead: str):
+    return lambda k: F.struct(F.concat(F.lit(lead), k).alias("path"), F.lit("undeclared").alias("problem"))
+
+
 def usage_by_schema(df: DataFrame, schemas: DataFrame) -> DataFrame:
     """(topic, schema_id, n, first_offset, last_offset, known): framed records by schema id (null:
     unframed, which is known)."""

@@ -29,6 +29,14 @@ def resolve_schema(df: DataFrame, schemas: DataFrame, lenient: bool = False) ->
     return out.withColumn("failure", F.lit(None).cast("string") if lenient else failure)
 
 
+_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+
+def _marking(schema: T.StructType) -> T.StructType:
+    """The schema with a column for the text of a record that doesn't parse."""
+    return T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+
+
 def decode_json(df: DataFrame, schema: str | T.StructType, mode: str, value: str = "value") -> DataFrame:
     """Adds decoded and failure. mode `strict` refuses an unframed payload, `plain` reads bare JSON, and
     `lenient` reads either. A bad payload is a failure, not an exception."""
@@ -37,9 +45,7 @@ def decode_json(df: DataFrame, schema: str | T.StructType, mode: str, value: str
     framed = R.is_framed(value)
     datum = F.when(framed, R.envelope_datum(value)) if mode == "strict" else F.col(value) if mode == "plain" else F.coalesce(R.envelope_datum(value), F.col(value))
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(datum.cast("string"), corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    out = df.withColumn("_p", parsed)
+    out = df.withColumn("_p", F.from_json(datum.cast("string"), _marking(schema), _CORRUPT))
     bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
     failure = F.when(~framed, "unframed") if mode == "strict" else F.when(F.lit(False), "")
     failure = failure.when(bad, "bad_json")
@@ -196,8 +202,13 @@ def _onto(col: Column, writer: T.DataType, reader: T.DataType, path: str) -> tup
             rows.append(F.exists(col, lambda x: x.isNull()))
         return F.transform(col, lambda x: inner(x)[0]), rows, s
     if isinstance(reader, T.MapType) and isinstance(writer, T.MapType):
-        _, _, s = _onto(F.lit(None).cast(writer.valueType), writer.valueType, reader.valueType, f"{path}{{}}")
-        return F.transform_values(col, lambda k, x: _onto(x, writer.valueType, reader.valueType, f"{path}{{}}")[0]), [], s
+        _, r, s = _onto(F.lit(None).cast(writer.valueType), writer.valueType, reader.valueType, f"{path}{{}}")
+        inner = lambda x: _onto(x, writer.valueType, reader.valueType, f"{path}{{}}")
+        values = F.map_values(col)
+        rows = [F.exists(values, lambda x: F.coalesce(_any(inner(x)[1]), F.lit(False)))] if r else []
+        if not reader.valueContainsNull:
+            rows.append(F.exists(values, lambda x: x.isNull()))
+        return F.transform_values(col, lambda k, x: inner(x)[0]), rows, s
     if type(reader) in _WIDER.get(type(writer), (type(writer),)):
         return col.cast(reader), [], []
     return F.lit(None).cast(reader), [], [f"{path}: {writer.simpleString()} is not read as {reader.simpleString()}"]
@@ -227,15 +238,17 @@ def evolve_onto(df: DataFrame, column: str, reader: T.StructType, writer: T.Stru
 
 def fanin_versions(df: DataFrame, writers: dict[int, T.StructType], reader: T.StructType, value: str = "value") -> DataFrame:
     """One topic with several writer versions: each framed JSON value decoded with its own schema and read
-    onto the reader's. Adds schema_id, evolved and failure. One pass: each row takes its id's branch."""
+    onto the reader's. Adds schema_id, evolved and failure: unframed, unknown_id, bad_json or what
+    evolve_onto says. One pass: each row takes its id's branch."""
     out = split_envelope(df, value)
     evolved, failure = F.lit(None).cast(reader), F.when(F.col("framed"), "unknown_id").otherwise("unframed")
     for n, (key, schema) in enumerate(writers.items()):
         parsed = f"_w{n}"
-        out = out.withColumn(parsed, F.from_json(F.when(F.col("schema_id") == key, F.col("datum").cast("string")), schema, {"mode": "PERMISSIVE"}))
-        v, rows, flaws = _onto(F.col(parsed), schema, reader, "")
-        bad = F.lit("; ".join(flaws)) if flaws else F.when(_any(rows), "null for a field that is not nullable")
         mine = F.col("schema_id") == key
+        out = out.withColumn(parsed, F.from_json(F.when(mine, F.col("datum").cast("string")), _marking(schema), _CORRUPT))
+        v, rows, flaws = _onto(F.col(parsed), schema, reader, "")
+        broken = F.col(parsed).isNull() | F.col(f"{parsed}._corrupt").isNotNull()
+        bad = F.lit("; ".join(flaws)) if flaws else F.when(broken, "bad_json").when(_any(rows), "null for a field that is not nullable")
         failure = F.when(mine, bad).otherwise(failure)
         evolved = F.when(mine & bad.isNull(), v).otherwise(evolved)
     return out.withColumn("failure", failure).withColumn("evolved", evolved).drop(*[f"_w{n}" for n in range(len(writers))], "framed", "datum")

@@ -16,8 +16,9 @@ def keyed_partition(key, partitions: int) -> Column:
 
 
 def place(df: DataFrame, partitions: int, order: list[str], key: str = "key", pin: str | None = None) -> DataFrame:
-    """Batch: adds `partition`: the pin where there is one (null if the topic has no such partition), else
-    by the key, else in turn over the topic's keyless records in `order`."""
+    """Adds `partition`: the pin where there is one (null if the topic has no such partition), else by the
+    key, else in turn over the topic's keyless records in `order`. A stream has no turn to take, so
+    there keyless records are dealt by a hash of `order`, which tells them apart."""
     if partitions < 1:
         raise ValueError("a topic has at least one partition")
     by_key = keyed_partition(key, partitions)
@@ -25,7 +26,10 @@ def place(df: DataFrame, partitions: int, order: list[str], key: str = "key", pi
     eligible = pinned.isNull() & by_key.isNull()
     df = df.withColumn("_turn", eligible)
     keyed = df.where(~F.col("_turn")).withColumn("partition", F.when(pinned.isNotNull(), F.when(pinned.between(0, partitions - 1), pinned.cast("int"))).otherwise(by_key))
-    if df.isStreaming or df.where("_turn").limit(1).count() == 0:
+    if df.isStreaming:
+        dealt = df.where("_turn").withColumn("partition", F.pmod(F.xxhash64(*order), F.lit(partitions)).cast("int"))
+        return keyed.unionByName(dealt).drop("_turn")
+    if df.where("_turn").limit(1).count() == 0:
         return keyed.drop("_turn")
     turned = number_rows(df.where("_turn"), ["topic"], order, "_n").withColumn("partition", F.pmod("_n", F.lit(partitions)).cast("int")).drop("_n")
     return keyed.unionByName(turned).drop("_turn")

@@ -86,14 +86,18 @@ def start_at_offset(s, d):
 SELECT event_id, topic, partition, "offset" FROM c JOIN stop USING (topic, partition) WHERE here AND txn_state = 'committed' AND (s IS NULL OR "offset" < s)""")
 def read_isolated(s, d):
     log, marks = transactions(s, d)
-    stated = X.resolve_transactions(log, marks)
+    # Where no transaction wrote a record its state is not known.
+    stated = X.resolve_transactions(log, marks).withColumn("txn_state", F.expr("CASE WHEN transactional_id IS NOT NULL THEN txn_state END"))
     start = L.log_bounds(log).select("topic", "partition", F.lit(10).cast("bigint").alias("start"))
     return L.read_isolated(stated, "read_committed", start).select("event_id", "topic", "partition", "offset")
 
 
-@query(f"WITH {TXN} SELECT event_id, sequence FROM stated WHERE topic = 'events.view' AND txn_state = 'committed'")
+@query(f"""WITH {TXN} SELECT event_id, sequence, row_number() OVER (ORDER BY sequence) - 1 AS place
+FROM stated WHERE topic = 'events.view' AND txn_state = 'committed'""")
 def published_order(s, d):
-    return L.published_order(X.resolve_transactions(*transactions(s, d)), "events.view").select("event_id", "sequence")
+    """place: where the operator's result really has the row, from its partition and its place there."""
+    out = L.published_order(X.resolve_transactions(*transactions(s, d)), "events.view").select("event_id", "sequence")
+    return L.number_rows(out.withColumn("at", F.monotonically_increasing_id()), [], ["at"], "place").drop("at")
 
 
 @query(f"""WITH {LOG}, b AS (SELECT topic, partition, CAST("offset" // 64 AS BIGINT) AS batch FROM log) SELECT topic, partition, batch, count(*) AS n FROM b GROUP BY ALL""")
@@ -433,10 +437,13 @@ def missing_source(s, d):
 # ---- read models ----
 
 
-@query(f"""WITH {LOG} SELECT key, event_id, row_number() OVER (PARTITION BY key, topic ORDER BY "offset") AS place FROM log""")
+@query(f"""WITH {LOG} SELECT key, event_id, row_number() OVER (PARTITION BY key ORDER BY topic, "offset") AS place, true AS together FROM log""")
 def ordered_lanes(s, d):
+    """place: where the operator's result really has the row in its lane; together: in one task."""
     dealt = M.ordered_lanes(key_text(event_log(s, d)), "key", ["topic", "offset"])
-    return dealt.withColumn("place", F.row_number().over(Window.partitionBy("key", "topic").orderBy("offset")).cast("bigint")).select("key", "event_id", "place")
+    dealt = dealt.withColumns({"task": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    lane = Window.partitionBy("key")
+    return dealt.select("key", "event_id", F.row_number().over(lane.orderBy("at")).cast("bigint").alias("place"), (F.min("task").over(lane) == F.max("task").over(lane)).alias("together"))
 
 
 @query(f"""WITH {LOG}, p AS (SELECT key, coalesce(ts - INTERVAL 1 HOUR * (event_id % 3) < lag(ts - INTERVAL 1 HOUR * (event_id % 3)) OVER (PARTITION BY key, topic, partition ORDER BY "offset"), false) AS bad FROM log) SELECT key, count(*) AS violations FROM p WHERE bad GROUP BY 1""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +53,10 @@ def decode_json(s, d):
     return G.decode_json(broken, "k bigint", "strict").select("event_id", _NONE(F.col("decoded.k")).alias("k"), "failure")
 
 
-@query(f"""WITH {FRAMED} SELECT event_id, payload AS plain, CASE WHEN NOT is_framed THEN 'unframed' WHEN schema_id = 3 THEN 'unknown_id' END AS passed FROM framed WHERE NOT is_framed OR schema_id < 3""")
+@query(f"""WITH {FRAMED} SELECT event_id, CASE WHEN is_framed AND schema_id = 3 THEN '0000000003' ELSE '' END || hex(encode(payload)) AS plain,
+CASE WHEN NOT is_framed THEN 'unframed' WHEN schema_id = 3 THEN 'unknown_id' END AS passed FROM framed""")
 def to_plain_json(s, d):
-    out = G.to_plain_json(framed(s, d), schemas(s)).where("passed is null or passed = 'unframed'")
-    return out.select("event_id", F.col("plain").cast("string").alias("plain"), "passed")
+    return G.to_plain_json(framed(s, d), schemas(s)).select("event_id", F.hex("plain").alias("plain"), "passed")
 
 
 @query(f"""WITH {LOG} SELECT event_id, CASE event_type WHEN 'view' THEN '0000000004' WHEN 'click' THEN '0000000005' ELSE '' END || hex(encode(payload)) AS bytes FROM log""")
@@ -103,31 +105,37 @@ def split_by_record(s, d):
     return G.split_by_record(rows, schemas(s), ["acme.View", "acme.Click"]).select("event_id", "record")
 
 
-@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Order' WHEN 1 THEN 'Line' END AS message_type, CASE WHEN event_id % 4 = 3 THEN NULL WHEN event_id % 4 = 0 THEN '0' WHEN event_id % 4 = 1 THEN '1' ELSE '2,0' END AS path, CASE WHEN event_id % 4 < 3 THEN props END AS message FROM events""")
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Order' WHEN 1 THEN 'Line' END AS message_type, CASE WHEN event_id % 4 = 3 THEN NULL WHEN event_id % 4 = 0 THEN '0' WHEN event_id % 4 = 1 THEN '1' ELSE '2,300,0,0,0,0,0,0,0,70000,1' END AS path, CASE WHEN event_id % 4 < 3 THEN props END AS message FROM events""")
 def route_by_message(s, d):
     k = F.col("event_id") % 4
-    path = F.when(k == 0, F.array(F.lit(0))).when(k == 1, F.array(F.lit(1))).otherwise(F.array(F.lit(2), F.lit(0)))
+    path = F.when(k == 0, F.array(F.lit(0))).when(k == 1, F.array(F.lit(1))).otherwise(F.array(*[F.lit(i) for i in (2, 300, *[0] * 7, 70000, 1)]))
     rows = event_log(s, d).withColumn("datum", F.when(k == 3, F.lit(b"\x04\x02")).otherwise(F.concat(R.write_path(path), "value")))
     out = G.route_by_message(rows, {"Order": [0], "Line": [1]})
     return out.select("event_id", "message_type", F.array_join("path", ",").alias("path"), F.col("message").cast("string").alias("message"))
 
 
 def _reader(**extra) -> T.StructType:
-    fields = [T.StructField("id", T.DoubleType(), False), T.StructField("name", T.BinaryType()), T.StructField("currency", T.StringType(), False, {"default": "EUR"})]
+    fields = [T.StructField("id", T.DoubleType(), False), T.StructField("name", T.BinaryType()), T.StructField("currency", T.StringType(), False, {"default": "EUR"}), T.StructField("sizes", T.MapType(T.StringType(), T.LongType(), False))]
     return T.StructType(fields)
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS id, CASE WHEN o_orderkey % 5 > 0 THEN 'EUR' END AS currency, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS name, CASE WHEN o_orderkey % 5 = 0 THEN 'null for a field that is not nullable' END AS failure FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN NOT bad THEN CAST(o_custkey AS DOUBLE) END AS id, CASE WHEN NOT bad THEN 'EUR' END AS currency, CASE WHEN NOT bad THEN o_orderstatus END AS name,
+CASE WHEN NOT bad THEN CAST(o_orderkey % 7 AS BIGINT) END AS rest, CASE WHEN bad THEN 'null for a field that is not nullable' END AS failure
+FROM (SELECT *, o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 AS bad FROM orders)""")
 def evolve_onto(s, d):
-    w = F.struct(F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey")).alias("id"), F.col("o_orderstatus").alias("name"), F.col("o_totalprice").alias("extra"))
+    rest = (F.col("o_orderkey") % 7).cast("int")
+    sizes = F.create_map(F.lit("rest"), F.when(rest > 0, rest))
+    w = F.struct(F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey")).alias("id"), F.col("o_orderstatus").alias("name"), F.col("o_totalprice").alias("extra"), sizes.alias("sizes"))
     out = G.evolve_onto(table(s, d, "orders").withColumn("w", w), "w", _reader())
-    return out.select("o_orderkey", "evolved.id", "evolved.currency", F.col("evolved.name").cast("string").alias("name"), "failure")
+    return out.select("o_orderkey", "evolved.id", "evolved.currency", F.col("evolved.name").cast("string").alias("name"), F.col("evolved.sizes")["rest"].alias("rest"), "failure")
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 10 = 9 THEN -1 ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 10 = 9 THEN NULL WHEN event_id % 10 < 5 THEN 'EUR' ELSE 'USD' END AS currency, CASE WHEN event_id % 10 = 9 THEN 'unknown_id' END AS failure FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 10 = 9 OR event_id % 20 = 18 THEN -1 ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+CASE WHEN event_id % 10 = 9 OR event_id % 20 = 18 THEN NULL WHEN event_id % 10 < 5 THEN 'EUR' ELSE 'USD' END AS currency,
+CASE WHEN event_id % 10 = 9 THEN 'unknown_id' WHEN event_id % 20 = 18 THEN 'bad_json' END AS failure FROM events""")
 def fanin_versions(s, d):
     k = F.get_json_object("props", "$.k")
-    v2 = F.concat(F.lit('{"k": '), k, F.lit(', "currency": "USD"}'))
+    v2 = F.when(F.col("event_id") % 20 == 18, '{"k": oops').otherwise(F.concat(F.lit('{"k": '), k, F.lit(', "currency": "USD"}')))
     rows = event_log(s, d).withColumn("value", F.when(F.col("event_id") % 10 < 5, R.add_envelope(1, "props")).when(F.col("event_id") % 10 < 9, R.add_envelope(2, v2)).otherwise(R.add_envelope(9, "props")))
     reader = T.StructType([T.StructField("k", T.LongType()), T.StructField("currency", T.StringType(), True, {"default": "EUR"})])
     writers = {1: T.StructType.fromDDL("k int"), 2: T.StructType.fromDDL("k bigint, currency string")}
@@ -149,7 +157,42 @@ def _fleet(s, d):
     return base.select("o_orderkey", "subject", "schema_type", "x.version", "x.definition", (F.col("o_orderkey") * 2 + F.col("x.version")).alias("id"))
 
 
-@query("""SELECT 'order-' || o_orderkey AS subject, v.version, v.path, v.type, v.nullable, v.has_default FROM (SELECT o_orderkey, unnest([
+def _record(*fields: tuple, name: str = "O") -> dict:
+    return {"type": "record", "name": name, "fields": [{"name": n, "type": t} for n, t in fields]}
+
+
+def _object(required: list, closed: bool = False, **properties) -> dict:
+    return {"type": "object", "properties": properties, "required": required} | ({"additionalProperties": False} if closed else {})
+
+
+def _deep(leaf: str, levels: int = 5) -> dict:
+    return _record(("a", _deep(leaf, levels - 1) if levels else leaf), name=f"D{levels}")
+
+
+_P = _record(("q", "int"), name="P")
+#: By order key modulo 8: flavor, version 1 and version 2 of a subject's schema.
+KINDS = [
+    ("AVRO", _record(("x", ["int", "string"])), _record(("x", ["int", "boolean"]))),
+    ("AVRO", _record(("c", {"type": "enum", "name": "C", "symbols": ["B", "A"]})), _record(("c", {"type": "enum", "name": "C", "symbols": ["A"]}))),
+    ("AVRO", _deep("int"), _deep("string")),
+    ("JSON", _object(["a"], a={"type": "integer"}), _object(["a"], a={"type": "number"}, b={"type": "string"})),
+    ("JSON", _object([], a={"type": "integer"}, z={"type": "string"}), _object([], closed=True, a={"type": "integer"})),
+    ("JSON", _object([], b={"type": "string"}, e={"enum": ["x", "y"]}), _object(["b"], b={"type": ["string"]}, e={"enum": ["x"]})),
+    ("AVRO", _record(("p", _P)), _record(("p", ["null", _P]))),
+    ("AVRO", _record(("p", _P), ("u", "P")), _record(("p", _P), ("u", "acme.P"))),
+]
+
+
+def _kinds(s, d):
+    """Two versions of a schema of the order's kind, for each order."""
+    k = F.col("o_orderkey") % len(KINDS)
+    pick = lambda at: F.element_at(F.array(*[F.lit(x[at] if at == 0 else json.dumps(x[at])) for x in KINDS]), (k + 1).cast("int"))
+    two = F.array(*[F.struct(F.lit(n).alias("version"), pick(n).alias("definition")) for n in (1, 2)])
+    rows = table(s, d, "orders").select("o_orderkey", F.concat(F.lit("kind-"), "o_orderkey").alias("subject"), pick(0).alias("schema_type"), F.explode(two).alias("x"))
+    return rows.select("o_orderkey", "subject", "schema_type", "x.version", "x.definition", (F.col("o_orderkey") * 2 + F.col("x.version")).alias("id"))
+
+
+@query("""SELECT 'order-' || o_orderkey AS subject, v.version, v.path, v.type, v.nullable, v.has_default, CAST(NULL AS VARCHAR) AS symbols FROM (SELECT o_orderkey, unnest([
 {'version': 1, 'path': '', 'type': 'record O', 'nullable': false, 'has_default': false}, {'version': 1, 'path': 'id', 'type': 'long', 'nullable': false, 'has_default': false},
 {'version': 1, 'path': 'n', 'type': CASE WHEN o_orderkey % 3 = 0 THEN 'int' ELSE 'long' END, 'nullable': o_orderkey % 3 > 0, 'has_default': false},
 {'version': 2, 'path': '', 'type': 'record O', 'nullable': false, 'has_default': false}, {'version': 2, 'path': 'id', 'type': 'long', 'nullable': false, 'has_default': false}, {'version': 2, 'path': 'n', 'type': 'long', 'nullable': false, 'has_default': false},
@@ -163,11 +206,21 @@ def schema_fields(s, d):
 CASE WHEN w = 'backward' THEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 ELSE o_orderkey % 3 > 0 END AS ok,
 CASE WHEN w = 'backward' THEN concat_ws('; ', CASE WHEN o_orderkey % 2 = 1 THEN 'item: the writer lacks it and it has no default' END, CASE WHEN o_orderkey % 3 > 0 THEN 'n: the writer may write null' END)
 ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'n: long is not read as int' ELSE '' END END AS problems
-FROM orders, (VALUES ('backward'), ('forward')) AS ways(w) WHERE o_orderkey % 4 > 0 AND (w = 'backward' OR o_orderkey % 4 = 1)""")
+FROM orders, (VALUES ('backward'), ('forward')) AS ways(w) WHERE o_orderkey % 4 > 0 AND (w = 'backward' OR o_orderkey % 4 = 1)
+UNION ALL SELECT 'kind-' || o_orderkey, 2, 1, v.direction, v.ok, v.problems FROM orders JOIN (VALUES
+(0, 'backward', false, 'x: string is not read as int|boolean'), (0, 'forward', false, 'x: boolean is not read as int|string'),
+(1, 'backward', false, 'c: symbol B is not read'), (1, 'forward', true, ''), (2, 'backward', NULL, 'too deep to tell'), (2, 'forward', NULL, 'too deep to tell'),
+(3, 'backward', true, ''), (3, 'forward', false, 'a: number is not read as integer'),
+(4, 'backward', false, ': the reader''s object is closed and the writer''s is open; z: the reader''s object is closed and lacks it'), (4, 'forward', true, ''),
+(5, 'backward', false, 'b: the writer may leave it out; e: symbol y is not read'), (5, 'forward', true, ''),
+(6, 'backward', true, ''), (6, 'forward', false, 'p: the writer may write null'), (7, 'backward', true, ''), (7, 'forward', true, '')
+) AS v(kind, direction, ok, problems) ON o_orderkey % 8 = v.kind""")
 def compatibility_audit(s, d):
     fleet = _fleet(s, d)
+    kinds = _kinds(s, d)
+    full = kinds.where("version = 1").select("subject", F.lit("FULL").alias("level"))
     levels = fleet.where("version = 1").select("subject", F.when(F.col("o_orderkey") % 4 == 0, "NONE").when(F.col("o_orderkey") % 4 == 1, "FULL").when(F.col("o_orderkey") % 4 == 2, "BACKWARD_TRANSITIVE").alias("level"))
-    return A.compatibility_audit(fleet, levels.where("level is not null"), depth=3).withColumn("problems", F.array_join("problems", "; "))
+    return A.compatibility_audit(fleet.unionByName(kinds), levels.where("level is not null").unionByName(full), depth=3).withColumn("problems", F.array_join("problems", "; "))
 
 
 @query("""SELECT 'events.' || event_type AS topic, side, 'events.' || event_type || '-' || side AS subject, CASE WHEN side = 'key' OR event_type = 'click' THEN 'ok' WHEN event_type = 'view' THEN 'namespace' ELSE 'absent' END AS finding
@@ -210,16 +263,23 @@ def equal_schemas(s, d):
 
 
 @query("""WITH e AS (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
-SELECT event_id, 'k' AS path, 'range' AS problem FROM e WHERE k > 90 AND event_id % 5 > 0 UNION ALL SELECT event_id, 'k', 'kind' FROM e WHERE event_id % 5 = 0
+SELECT event_id, 'k' AS path, 'range' AS problem FROM e WHERE (k > 90 OR event_id % 17 = 0) AND event_id % 5 > 0
+UNION ALL SELECT event_id, 'o.b', 'undeclared' FROM e WHERE event_id % 11 = 1 UNION ALL SELECT event_id, 'm', 'item' FROM e WHERE event_id % 11 = 2
+UNION ALL SELECT event_id, 'big', 'range' FROM e WHERE event_id % 11 = 3 UNION ALL SELECT event_id, 'k', 'kind' FROM e WHERE event_id % 5 = 0
 UNION ALL SELECT event_id, 'who', 'missing' FROM e WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'who', 'null' FROM e WHERE event_id % 3 = 1 UNION ALL SELECT event_id, 'who', 'enum' FROM e WHERE event_id % 3 = 2 AND event_id % 2 = 0
 UNION ALL SELECT event_id, 'more', 'undeclared' FROM e WHERE event_id % 11 = 0""")
 def payload_conformance(s, d):
     e = F.col("event_id")
-    k = F.get_json_object("props", "$.k")
+    # 20 digits where the key is a multiple of 17; one above 2^53 + 1 as `big`.
+    k = F.when(e % 17 == 0, "18446744073709551615").otherwise(F.get_json_object("props", "$.k"))
+    more = F.when(e % 11 == 0, ',"more":1').when(e % 11 == 1, ',"o":{"a":1,"b":2}').when(e % 11 == 2, ',"m":{"x":1,"y":"no"}').when(e % 11 == 3, ',"big":9007199254740994').when(e % 11 == 4, ',"o":{"a":1},"m":{"x":1},"big":9007199254740993')
     body = F.concat(
         F.lit('{"k":'), F.when(e % 5 == 0, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k),
-        F.when(e % 3 == 0, "").when(e % 3 == 1, ',"who":null').when(e % 2 == 0, ',"who":"nobody"').otherwise(',"who":"user"'), F.when(e % 11 == 0, ',"more":1').otherwise(""), F.lit("}"))
-    shape = [{"path": "k", "type": "int", "required": True, "max": 90}, {"path": "who", "type": "string", "required": True, "enum": ["user", "assistant"]}]
+        F.when(e % 3 == 0, "").when(e % 3 == 1, ',"who":null').when(e % 2 == 0, ',"who":"nobody"').otherwise(',"who":"user"'), F.coalesce(more, F.lit("")), F.lit("}"))
+    shape = [
+        {"path": "k", "type": "int", "required": True, "max": 90}, {"path": "who", "type": "string", "required": True, "enum": ["user", "assistant"]},
+        {"path": "o", "type": "object", "closed": True}, {"path": "o.a", "type": "int"}, {"path": "m", "type": "map", "values": "int"}, {"path": "big", "type": "int", "max": 9007199254740993},
+    ]
     return A.payload_conformance(event_log(s, d).withColumn("value", body), shape, closed=True, ids=("event_id",))
 
 

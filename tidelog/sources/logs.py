@@ -149,8 +149,10 @@ def start_at(log: DataFrame, position: str, value=None, **named) -> DataFrame:
 def read_isolated(log: DataFrame, level: str = "read_committed", positions: DataFrame | None = None) -> DataFrame:
     """Records visible from each partition's position (0 where none is given). read_committed leaves out
     aborted records and stops in front of the first pending one at or after the position;
-    read_uncommitted gives every data record. Control entries are never given."""
+    read_uncommitted gives every data record. Control entries are never given. A record whose state
+    is not known (null) is outside any transaction, so it is committed."""
     here = log if positions is None else from_positions(log, positions)
+    here = here.withColumn("txn_state", F.coalesce("txn_state", F.lit("committed")))
     if level == "read_uncommitted":
         return here.where("txn_state <> 'control'")
     if level != "read_committed":

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tidelog.operators import models
 from tidelog.sources.logs import SCHEMA, read_log
 
 
@@ -26,49 +27,58 @@ def read_bounded(spark: SparkSession, source, size: int, fmt: str = "parquet", *
 
 
 class _Deferral(StatefulProcessor):
-    """Holds a key's copies until they are due. Held rows are state, so they survive a restart."""
+    """Holds a lane's copies until they are due. Held rows are state, so they survive a restart. Rows lie
+    under their due time and number, so a row is written once, and read once when its timer fires."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "rows string")
-
-    def _read(self) -> list:
-        return json.loads(self.held.get()[0]) if self.held.exists() else []
+        self.counts = handle.getMapState("counts", "due bigint", "n bigint")
+        self.rows = handle.getMapState("rows", "due bigint, number bigint", "row string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        now, out, held = timerValues.getCurrentProcessingTimeInMs(), [], self._read()
+        now, out = timerValues.getCurrentProcessingTimeInMs(), []
         for part in rows:
             for text, delay in zip(part["row"], part["delay_ms"], strict=True):
                 if delay <= 0:
                     out.append(text)
-                else:
-                    held.append([text, int(now + delay)])
-                    self.handle.registerTimer(int(now + delay))
-        if held:
-            self.held.update((json.dumps(held),))
+                    continue
+                due = int(now + delay)
+                n = self.counts.getValue((due,))[0] if self.counts.containsKey((due,)) else 0
+                if not n:
+                    self.handle.registerTimer(due)
+                self.rows.updateValue((due, n), (text,))
+                self.counts.updateValue((due,), (n + 1,))
         yield pd.DataFrame({"row": pd.Series(out, dtype=object)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        now, held = timerValues.getCurrentProcessingTimeInMs(), self._read()
-        rest = [r for r in held if r[1] > now]
-        if rest:
-            self.held.update((json.dumps(rest),))
-        else:
-            self.held.clear()
-        yield pd.DataFrame({"row": pd.Series([r[0] for r in held if r[1] <= now], dtype=object)})
+        due, out = int(expiredTimerInfo.getExpiryTimeInMs()), []
+        for n in range(self.counts.getValue((due,))[0] if self.counts.containsKey((due,)) else 0):
+            out.append(self.rows.getValue((due, n))[0])
+            self.rows.removeKey((due, n))
+        self.counts.removeKey((due,))
+        yield pd.DataFrame({"row": pd.Series(out, dtype=object)})
 
     def close(self) -> None:
         pass
 
 
+#: Lanes that rows without a key are dealt to, by a hash of the row.
+FREE_LANES = 64
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def deferred(stream: DataFrame, lane: str = "key") -> DataFrame:
     """Gives each row of a stream out `delay_ms` after it came (at once for 0 or null); rows behind do not
-    wait. Needs the RocksDB state store. Rows come back in their own columns."""
+    wait. Needs the RocksDB state store. Rows come back in their own columns, timestamps to the
+    microsecond. Rows without a key have no lane to keep, so they are spread over FREE_LANES."""
     cols = [c for c in stream.columns if c != "delay_ms"]
-    packed = stream.select(F.coalesce(F.col(lane).cast("string"), F.lit("")).alias("lane"), F.to_json(F.struct(*cols)).alias("row"), F.coalesce(F.col("delay_ms"), F.lit(0)).cast("bigint").alias("delay_ms"))
+    row = F.to_json(F.struct(*cols), _EXACT)
+    free = F.concat(F.lit("free-"), F.pmod(F.xxhash64(row), F.lit(FREE_LANES)))
+    own = F.concat(F.lit("key-"), F.col(lane).cast("string"))
+    packed = stream.select(F.coalesce(own, free).alias("lane"), row.alias("row"), F.coalesce(F.col("delay_ms"), F.lit(0)).cast("bigint").alias("delay_ms"))
     out = packed.groupBy("lane").transformWithStateInPandas(statefulProcessor=_Deferral(), outputStructType="row string", outputMode="Append", timeMode="ProcessingTime")
     schema = stream.select(*cols).schema
-    return out.select(F.from_json("row", schema).alias("r")).select("r.*")
+    return out.select(F.from_json("row", schema, _EXACT).alias("r")).select("r.*")
 
 
 class _Ledger(StatefulProcessor):
@@ -124,9 +134,47 @@ def committed_positions(spark: SparkSession, target: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(f"{target}/_positions").groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
+def rebuilding_model(stream: DataFrame, log: Callable[[], DataFrame], target: str, checkpoint: str, account: str = "account", amount: str = "amount", **trigger) -> StreamingQuery:
+    """Keeps the balance of each account, and starts over whenever a batch brings a newer revision: then
+    the model is computed again from the log's start up to where the stream has come, else the batch's
+    sums are added to it. `log` gives the retained log as it is now (topic, partition, offset, revision,
+    account, amount).
+
+    Each micro-batch writes the model and its positions under its own `batch_id=N`, from those of the
+    latest one before it, so a batch that runs again replaces what it left."""
+
+    def before(spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+        if not batch_id:
+            return None
+        return spark.read.parquet(f"{target}/{name}/batch_id={batch_id - 1}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            ends = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+            known, model = before(spark, "positions", batch_id), before(spark, "model", batch_id)
+            ends = ends if known is None else known.unionByName(ends).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+            ends.write.mode("overwrite").parquet(f"{target}/positions/batch_id={batch_id}")
+            ends = spark.read.parquet(f"{target}/positions/batch_id={batch_id}")
+            revision = None if model is None else model.agg(F.max("revision")).first()[0]
+            if models.needs_rebuild(revision, batch):
+                behind = log().join(ends, ["topic", "partition"]).where("offset < next_offset")
+                out = models.rebuild_on_revision(behind, account, amount).select(account, "balance", "revision")
+            else:
+                added = batch.select(account, F.col(amount).alias("balance"))
+                added = added if model is None else added.unionByName(model.select(account, "balance"), allowMissingColumns=True)
+                out = added.groupBy(account).agg(F.sum("balance").alias("balance")).withColumn("revision", F.lit(revision).cast(batch.schema["revision"].dataType))
+            out.write.mode("overwrite").parquet(f"{target}/model/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Hands every micro-batch to `handle` until what is there now is read: the batch form of a handler."""
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-__all__ = ["SCHEMA", "committed_positions", "deferred", "eos_sink", "ordered_ledger", "read_bounded", "run_batches"]
+__all__ = ["SCHEMA", "committed_positions", "deferred", "eos_sink", "ordered_ledger", "read_bounded", "rebuilding_model", "run_batches"]
