@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from . import wordhash as W
 from .common import sample_by_id, table
 
-#: Rows on which cost and selectivity of the rules are estimated; only the order depends on them.
+#: Rows (about so many) on which cost and selectivity of the rules are estimated; only the order
+#: depends on them.
 SAMPLE_ROWS = 2000
 WINDOW = 8
 _SYMBOL = np.zeros(256, bool)
@@ -148,27 +149,46 @@ def cascade(buf, bounds, counts, rules: list[Rule]) -> np.ndarray:
     return by
 
 
+def by_worth(seconds: list[float], rejected: dict[int, int]) -> list[int]:
+    """Rules, each next one by rejections a second among the rows that those before it leave.
+    rejected: number of sample rows by the bits of the rules that reject them."""
+    order, gone = [], 0
+    while len(order) < len(seconds):
+        left = [k for k in range(len(seconds)) if k not in order]
+        hits = {k: sum(n for bits, n in rejected.items() if not bits & gone and bits >> k & 1) for k in left}
+        best = max(left, key=lambda k: (hits[k] / max(1e-9, seconds[k]), -seconds[k], -k))
+        order.append(best)
+        gone |= 1 << best
+    return order
+
+
 def order_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> list[Rule]:
-    """The rules by rejections per second of their own work, measured on a sample on the executors.
-    Only sums per rule reach the driver. The order never changes a verdict."""
+    """The rules by rejections per second of their own work (see by_worth), measured on a sample on the
+    executors. Only sums per rule and per set of rejecting rules reach the driver. The order never
+    changes a verdict."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spent, hit = np.zeros(len(rules)), np.zeros(len(rules), np.int64)
+        spent, sets = np.zeros(len(rules)), np.zeros(0, np.int64)
         for batch in batches:
             for _, _, buf, bounds in W.chunks(batch.column(0)):
                 counts = base_counts(buf, bounds)
                 left = np.flatnonzero(~_base_failed(counts))
                 sub, some = _rows(buf, bounds, left), {n: v[left] for n, v in counts.items()}
+                bits = np.zeros(len(left), np.int64)
                 for k, rule in enumerate(rules):
                     began = time.perf_counter()
-                    hit[k] += int(np.sum(rule.reject(*sub, some))) if len(left) else 0
+                    if len(left):
+                        bits |= np.asarray(rule.reject(*sub, some), bool).astype(np.int64) << k
                     spent[k] += time.perf_counter() - began
-        yield pa.record_batch({"rule": pa.array(range(len(rules)), pa.int32()), "hit": pa.array(hit), "spent": pa.array(spent)})
+                sets = np.concatenate([sets, bits[bits > 0]])
+        which, n = np.unique(sets, return_counts=True)
+        seconds = [*spent, *np.zeros(len(which))]
+        yield pa.record_batch({"rule": pa.array([*range(len(rules)), *[-1] * len(which)], pa.int32()), "bits": pa.array([*[0] * len(rules), *which], pa.int64()), "n": pa.array([*[0] * len(rules), *n], pa.int64()), "spent": pa.array(seconds, pa.float64())})
 
     chosen = sample_by_id(docs, rows, id_col).select(F.col(text_col).alias("text"))
-    seen = {r.rule: (r.hit, r.spent) for r in chosen.mapInArrow(measure, "rule int, hit bigint, spent double").groupBy("rule").agg(F.sum("hit").alias("hit"), F.sum("spent").alias("spent")).collect()}
-    worth = lambda k: seen.get(k, (0, 0.0))[0] / max(1e-9, seen.get(k, (0, 0.0))[1])
-    return [rules[k] for k in sorted(range(len(rules)), key=lambda k: (-worth(k), k))]
+    sums = chosen.mapInArrow(measure, "rule int, bits bigint, n bigint, spent double").groupBy("rule", "bits").agg(F.sum("n").alias("n"), F.sum("spent").alias("spent")).collect()
+    spent = {r.rule: r.spent for r in sums}
+    return [rules[k] for k in by_worth([spent.get(k, 0.0) for k in range(len(rules))], {r.bits: r.n for r in sums if r.rule == -1})]
 
 
 OUT = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean"
@@ -178,8 +198,8 @@ def apply_rules(docs: DataFrame, rules: list[Rule] | None = None, id_col: str =
     """One row for each input row: the base counts, base_failed and kept.
 
     Null and empty texts have counts of 0 and fail the base rule (fewer than 20 words). Repeated rows
-    and repeated or null ids each come back. Other columns of the input are not read. Every text is
-    read whole; a row needs no other row, so nothing is shuffled.
+    and repeated or null ids each come back. Other columns of the input are not read, whatever
+    their names. Ids are bigint or cast to it. Every text is read whole; a row needs no other row, so nothing is shuffled.
     """
     ordered = order_rules(docs, RULES if rules is None else rules, id_col=id_col, text_col=text_col)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
