@@ -23,18 +23,20 @@ def url_path(url):
 
 
 def url_node(url):
-    """What names the same resource whatever the scheme and the fragment: host, path and query."""
+    """What names the same resource whatever the scheme and the fragment: host, path and query. A url
+    without a scheme stands for itself; no other node has a `#`."""
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(url_host(url), rest)).otherwise(url)
+    return F.when(url.contains("://"), F.concat(url_host(url), rest)).otherwise(F.concat(F.lit("#"), url))
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(url, target) of canonical links and immediate meta redirects found in the html."""
+    """(url, target) of canonical links and immediate meta redirects found in the html of pages whose url
+    has a scheme; relative targets are resolved against it."""
     tag = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
     meta = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
     canonical = F.regexp_extract(F.regexp_extract("html", tag, 0), r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1)
     refresh = F.regexp_extract(F.regexp_extract("html", meta, 0), r"(?is)\burl\s*=\s*[\"']?([^\"'>\s;]+)", 1)
-    found = pages.where("url is not null").select("url", F.explode(F.array(canonical, refresh)).alias("target")).where("target <> ''")
+    found = pages.where("contains(url, '://')").select("url", F.explode(F.array(canonical, refresh)).alias("target")).where("target <> ''")
     scheme = F.concat(F.regexp_extract("url", r"(?s)^(.*?)://", 1), F.lit(":"))
     base = F.concat(scheme, F.lit("//"), url_host(F.col("url")))
     whole = (
@@ -43,7 +45,7 @@ def link_edges(pages: DataFrame) -> DataFrame:
         .when(F.col("target").startswith("/"), F.concat(base, F.col("target")))
         .otherwise(F.concat(base, F.regexp_extract(url_path(F.col("url")), r"(?s)^(.*/)?", 0), F.col("target")))
     )
-    return found.select("url", whole.alias("target"))
+    return found.select("url", whole.alias("target")).where("contains(target, '://')")
 
 
 def rule_of(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -75,12 +77,13 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     aliases: the urls joined to it by canonical links, meta redirects and the given redirects
     (from_url, to_url), in either direction and over any number of steps. One alias with an explicit
     allow makes it allow; else one with a block makes it block; else it is allowed. A null url and
-    one without `://` have empty host and path, fit no rule with a path and have no aliases.
-    Repeated urls share a verdict; every input row comes back.
+    one without `://` have empty host and path, fit no rule with a path and have no aliases, whatever
+    their html or the redirects say. Null html has no links. Repeated urls share a verdict; every input
+    row comes back, with its other columns whatever their names.
     """
     edges = link_edges(pages)
     if redirects is not None:
-        edges = edges.union(redirects.select(F.col("from_url"), F.col("to_url")).where("from_url is not null and to_url is not null"))
+        edges = edges.union(redirects.select(F.col("from_url"), F.col("to_url")).where("contains(from_url, '://') and contains(to_url, '://')"))
     ends = edges.select(url_node(F.col("url")).alias("a"), url_node(F.col("target")).alias("b"))
     groups = components(ends)
     urls = pages.select("url").where("url is not null").union(edges.select("target")).union(edges.select("url")).distinct()
@@ -113,11 +116,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH RECURSIVE
 links AS (
-  SELECT url, t.target FROM (
-    SELECT url, unnest([
+  SELECT url, CASE WHEN contains(t.target, '://') THEN t.target WHEN starts_with(t.target, '//') THEN scheme || t.target
+                   WHEN starts_with(t.target, '/') THEN scheme || '//' || host || t.target ELSE scheme || '//' || host || regexp_extract(path, '(?s)^(.*/)?', 0) || t.target END AS target FROM (
+    SELECT url, regexp_extract(url, '(?s)^(.*?)://', 1) || ':' AS scheme,
+      translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, unnest([
       regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0), '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1),
       regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0), '(?is)\burl\s*=\s*["'']?([^"''>\s;]+)', 1)]) AS target
-    FROM pages WHERE url IS NOT NULL) t WHERE t.target <> ''),
+    FROM pages WHERE contains(url, '://')) t WHERE t.target <> ''),
 urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT target FROM links UNION SELECT url FROM links),
 parts AS (
   SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -125,7 +130,7 @@ parts AS (
          regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest FROM urls),
 rules(rhost, rpath, rverdict) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
 ruled AS (
-  SELECT p.url, p.host, p.path, CASE WHEN contains(p.url, '://') THEN p.host || p.rest ELSE p.url END AS node,
+  SELECT p.url, p.host, p.path, CASE WHEN contains(p.url, '://') THEN p.host || p.rest ELSE '#' || p.url END AS node,
          arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(rverdict, length(rhost || rpath)) AS rverdict
   FROM parts p LEFT JOIN rules ON (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)
   GROUP BY ALL),
