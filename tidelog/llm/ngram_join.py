@@ -12,8 +12,9 @@ group of near copies costs about as many pairs as it has members. Lists that are
 compared block against block, with a bound on the symmetric difference from parity bitmaps, and
 only pairs that the bound lets pass leave the task.
 
-Scale: n-grams travel packed (a few bytes each) to as many fragments as there are shuffle partitions
-to fill; what is broadcast has a fixed size (FREQUENT n-grams, FILTER_BITS); no group is collected.
+Scale: n-grams travel packed (a few bytes each) to fragments, the number of which follows the bytes of
+text, so a task holds those of PART_BYTES at any size; what is broadcast has a fixed bound (FREQUENT
+n-grams, FILTER_BITS); no group is collected.
 n-grams and sets are compared by 64-bit hashes.
 """
 
@@ -36,9 +37,11 @@ FREQUENT, LEAST_FREQUENT = 1 << 18, 4
 #: Lists of more classes than this are compared in blocks of BLOCK classes.
 LONG_LIST, BLOCK = 64, 256
 MAP_BITS = 1024
-FILTER_BITS = 1 << 23
+#: Bits of the filter for texts in pairs: sixteen for each text, within these bounds (32 MB at most).
+FILTER_BITS = 1 << 20, 1 << 28
 FRAGMENTS = 4  # vertical fragments of a set in the exact comparison
-FLUSH = 1_000_000
+#: Bytes of text whose n-grams one task counts, and n-grams that are packed together.
+PART_BYTES, FLUSH = 1 << 28, (1 << 20, 1 << 23)
 _U = np.uint64
 
 
@@ -107,7 +110,7 @@ def frequent(docs: DataFrame, bits: int, gram: int = NGRAM) -> tuple[np.ndarray,
                 ids = short_ids(ngram_sets(buf, bounds, gram)[0], bits)
                 held.append(ids)
                 n += len(ids)
-                if n >= FLUSH:
+                if n >= flush_size(bits):
                     yield from _packed(np.concatenate(held), bits, planes=3)
                     held, n = [], 0
         if n:
@@ -122,7 +125,7 @@ def frequent(docs: DataFrame, bits: int, gram: int = NGRAM) -> tuple[np.ndarray,
         frag = rows.column("frag")[0].as_py()
         return pa.table({"id": pa.array((frag << 24) | key[top].astype(np.int64), pa.int64()), "n": pa.array(n[top], pa.int64())})
 
-    got = docs.mapInArrow(emit, "frag int, ids binary").groupBy("frag").applyInArrow(count, "id bigint, n bigint").toArrow()
+    got = spread(docs.mapInArrow(emit, "frag int, ids binary"), bits).groupBy("frag").applyInArrow(count, "id bigint, n bigint").toArrow()
     ids, n = (got.column(c).to_numpy() for c in ("id", "n"))
     order = np.argsort(ids)
     return ids[order].astype(np.uint64), n[order]
@@ -140,6 +143,18 @@ def _least_shared(a, b, percent: int):
     return F.least(rest(a), rest(b)) + _needed(a, b, percent)
 
 
+def flush_size(bits: int) -> int:
+    """n-grams packed together: more where there are more fragments to fill."""
+    return min(FLUSH[1], max(FLUSH[0], 256 << bits))
+
+
+def spread(packed: DataFrame, bits: int) -> DataFrame:
+    """Packed rows by fragment, four fragments to a task; where the session has partitions enough, the
+    grouping's own shuffle does it."""
+    parts = 1 << max(0, bits - 2)
+    return packed.repartition(parts, "frag") if parts > int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")) else packed
+
+
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
@@ -201,7 +216,7 @@ def shared_lists(sets: DataFrame, bits: int) -> DataFrame:
             ids.append(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
             owners.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)))
             n += len(ids[-1])
-            if n >= FLUSH:
+            if n >= flush_size(bits):
                 yield from _packed(np.concatenate(ids), bits, np.concatenate(owners))
                 ids, owners, n = [], [], 0
         if n:
@@ -222,22 +237,22 @@ def shared_lists(sets: DataFrame, bits: int) -> DataFrame:
         return pa.table({"token": pa.array((frag << 32) | key[twin].astype(np.int64), pa.int64()), "cls": pa.array(own[twin], pa.int64())})
 
     packed = sets.where("cls is not null and size(rare) > 0").select("cls", "rare").mapInArrow(emit, "frag int, ids binary, owners binary")
-    return common.union(packed.groupBy("frag").applyInArrow(meet, "token bigint, cls bigint"))
+    return common.union(spread(packed, bits).groupBy("frag").applyInArrow(meet, "token bigint, cls bigint"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, gram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes that link: partial overlaps in each vertical fragment, summed.
 
     Pairs whose parity bitmaps differ in more bits than linked sets may differ in n-grams are out
-    before that. Only texts of classes in some pair are cut into n-grams again; a bit filter of fixed size keeps
-    the others out before that, and the joins leave out what it lets pass.
+    before that. Only texts of classes in some pair are cut into n-grams again; a bit filter, sized by the
+    number of pairs, keeps the others out before that, and the joins leave out what it lets pass.
     """
-    size = FILTER_BITS
     of = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("map").alias(f"m{c}"))
     both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
     differ = F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     pairs = checkpoint(both.where(differ <= F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"), percent)).select("a", "b", "na", "nb"))
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    size = min(FILTER_BITS[1], max(FILTER_BITS[0], 1 << (16 * pairs.count()).bit_length()))
     spot = F.pmod(F.col("mark"), F.lit(size))
     bits = (
         ends.join(classes.select("cls", "mark"), "cls")
@@ -352,9 +367,10 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(8, int(np.ceil(np.log2(4 * parts))))
     text = F.coalesce(F.col(text_col), F.lit(""))
+    held = docs.agg(F.sum(F.octet_length(text)).alias("bytes")).first().bytes or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // PART_BYTES))
+    bits = max(8, int(np.ceil(np.log2(4 * parts))))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     often, counts = frequent(base.select("text"), bits, gram)
     sets = checkpoint(describe(base.select("doc_id", "text", "mark"), often, counts, bits, gram, percent))
