@@ -17,18 +17,27 @@ from tidelog.llm.common import checkpoint, table
 SHINGLE, ALIKE = 5, 80
 
 
+def _aside(docs: DataFrame, *made: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns of these names (in any case) renamed, so that a stage's own columns don't meet
+    them, and how to name them again."""
+    names = {c: f"own_{c}" for c in docs.columns if c.lower() in made}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier is sure of; those it rejects go."""
+    docs, back = _aside(docs, "lang_pred", "lang_score", "lang_accepted")
     judged = language_id.identify(docs, language_id.train(docs))
-    return judged.where("lang_accepted").select(*docs.columns)
+    return judged.where("lang_accepted").select(*docs.columns).withColumnsRenamed(back)
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that ten documents share; n_chars follows the text."""
+    docs, back = _aside(docs, "n_lines", "n_dropped", "kept_text")
     cleaned = line_dedup.drop_shared_lines(docs).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.char_length("kept_text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+    return cleaned.select(*docs.columns).withColumnsRenamed(back)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +47,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).where("size(leaks) = 0").select(*docs.columns)
+    docs, back = _aside(docs, "leaks")
+    clean = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).where("size(leaks) = 0")
+    return clean.select(*docs.columns).withColumnsRenamed(back)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
