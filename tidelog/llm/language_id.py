@@ -19,8 +19,9 @@ from .common import held_out, sample_by_id, table
 TRAIN_ROWS = 3000
 BITS, DIM = 13, 16
 UNKNOWN = "und"
-#: The rejection threshold is this quantile of the scores of calibration rows.
-REJECTED = 0.001
+#: The rejection threshold is this quantile of the log odds of calibration rows, or so many standard
+#: deviations below their mean where that is less, as few rows don't show such a quantile.
+REJECTED, DEVIATIONS = 0.001, 3.5
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -100,10 +101,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())], ["doc_id", "lang", "buckets", "shares"])
 
 
+def threshold(scores: np.ndarray) -> float:
+    """The least score that is accepted, from the scores of calibration rows."""
+    odds = np.log(np.maximum(1e-12, scores)) - np.log(np.maximum(1e-12, 1 - scores))
+    return float(1 / (1 + np.exp(-min(np.quantile(odds, REJECTED, method="lower"), odds.mean() - DEVIATIONS * odds.std()))))
+
+
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fits on a bounded sample of the rows whose label may be learnt from. The last fifth of it
-    sets the temperature (by likelihood) and the rejection threshold: the score that one in a thousand
-    of its rows falls below. What reaches the driver is at most six bytes a bucket for each row."""
+    sets the temperature (by likelihood) and the rejection threshold, which about one in a thousand of
+    such rows falls below. What reaches the driver is at most six bytes a bucket for each row."""
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     got = sample_by_id(usable, rows).mapInArrow(_counts, "doc_id bigint, lang string, buckets binary, shares binary").toArrow()
     got = got.filter(pc.greater(pc.binary_length(got.column("buckets")), 0)).sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("buckets", "ascending")])
@@ -151,7 +158,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 30, id_col: str
     nll = lambda t: -np.log(np.maximum(1e-12, _softmax(logits / t)[np.arange(len(dev)), y[dev]])).mean()
     model.heat = min((2.0**k for k in np.arange(-4, 4.25, 0.25)), key=nll)
     sure = _softmax(logits / model.heat).max(axis=1)
-    model.least = float(np.quantile(sure, REJECTED, method="lower"))
+    model.least = threshold(sure)
     return model
 
 
