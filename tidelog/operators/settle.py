@@ -6,6 +6,7 @@ from the user's column expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
 from tidelog.sources.checkpoints import checkpoint
-from tidelog.sources.logs import PLACE
+from tidelog.sources.logs import PLACE, slices
 
 MODES = ("auto", "tracked", "transactional")
 
@@ -44,15 +45,28 @@ def committed_auto(df: DataFrame) -> DataFrame:
 
 
 def read_epochs(df: DataFrame, seq: str = "delivery_seq") -> DataFrame:
-    """Adds epoch and current. In delivery order, an offset not above the one before it starts a new
-    epoch; a changed `generation` (where there is such a column) starts one too. current marks the
-    deliveries of a partition's last epoch."""
-    w = Window.partitionBy(*PLACE).orderBy(seq)
-    back = F.coalesce(F.col("offset") <= F.lag("offset").over(w), F.lit(False))
-    if "generation" in df.columns:
-        back = back | F.coalesce(F.col("generation") != F.lag("generation").over(w), F.lit(False))
-    out = df.withColumn("epoch", F.sum(back.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"))
-    return out.withColumn("current", F.col("epoch") == F.max("epoch").over(Window.partitionBy(*PLACE)))
+    """Batch: adds epoch and current. In delivery order, an offset not above the one before it starts a
+    new epoch; a changed `generation` (where there is such a column) starts one too. current marks the
+    deliveries of a partition's last epoch.
+
+    No partition of the log is put in one task: restarts are counted within slices of the delivery order
+    and summed over a table of one row for each slice and partition, which also compares each slice's
+    first delivery with the last one of the slice before it."""
+    facts = ["offset"] + (["generation"] if "generation" in df.columns else [])
+    ranged = slices(df, [*PLACE, seq])
+    own, over = Window.partitionBy("_slice", *PLACE).orderBy(seq), Window.partitionBy(*PLACE).orderBy("_slice")
+
+    def restarts(now: Callable[[str], Column], before: Callable[[str], Column]) -> Column:
+        changed = [F.coalesce(now("offset") <= before("offset"), F.lit(False))] + [F.coalesce(now(c) != before(c), F.lit(False)) for c in facts[1:]]
+        return reduce(lambda a, b: a | b, changed).cast("int")
+
+    ranged = ranged.withColumn("_back", restarts(F.col, lambda c: F.lag(c).over(own)))
+    ends = ranged.groupBy("_slice", *PLACE).agg(F.min_by(F.struct(*facts), seq).alias("first"), F.max_by(F.struct(*facts), seq).alias("last"), F.sum("_back").alias("n"))
+    ends = ends.withColumn("start", restarts(lambda c: F.col(f"first.{c}"), lambda c: F.lag(F.col(f"last.{c}")).over(over)))
+    ends = ends.withColumn("_base", F.sum(F.col("start") + F.col("n")).over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    ends = ends.withColumn("_top", F.max(F.col("_base") + F.col("n")).over(Window.partitionBy(*PLACE))).select("_slice", *PLACE, "_base", "_top")
+    out = ranged.join(ends, ["_slice", *PLACE]).withColumn("epoch", (F.col("_base") + F.sum("_back").over(own.rowsBetween(Window.unboundedPreceding, 0))).cast("bigint"))
+    return out.withColumn("current", F.col("epoch") == F.col("_top")).select(*df.columns, "epoch", "current")
 
 
 def committed_after_replay(df: DataFrame, seq: str = "delivery_seq") -> DataFrame:

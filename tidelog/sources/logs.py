@@ -31,15 +31,14 @@ def read_log(spark: SparkSession, source: str | dict, fmt: str = "parquet", stre
     return reader.format(fmt).options(**options).load(source)
 
 
-def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
-    """Batch: adds `name`, the row's rank from 0 by `order` (a total order) within `groups`, without
-    putting a whole group in one task.
+def slices(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows range-partitioned and checkpointed, so that each stays in the slice (`_slice`) it was put in."""
+    return checkpoint(df.repartitionByRange(*[F.col(c) for c in by]).withColumn("_slice", F.spark_partition_id()))
 
-    Rows are range-partitioned by groups and order and checkpointed, so that a partition's rows stay
-    where they were counted; each partition's count is added up in order over a table of one row for
-    each partition and group; ranks within a partition start from that base.
-    """
-    ranged = checkpoint(df.repartitionByRange(*[F.col(c) for c in [*groups, *order]]).withColumn("_slice", F.spark_partition_id()))
+
+def _ranked(ranged: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Ranks from 0 of sliced rows: each slice's count is added up in order over a table of one row for
+    each slice and group; ranks within a slice start from that base."""
     counts = ranged.groupBy("_slice", *groups).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
@@ -49,17 +48,23 @@ def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -
     for g in groups:
         on = on & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     joined = ranged.join(base, on).drop("_at", *[f"_of_{g}" for g in groups])
-    return joined.withColumn(name, (F.row_number().over(own) - 1 + F.col("_base")).cast("bigint")).drop("_slice", "_base")
+    return joined.withColumn(name, (F.row_number().over(own) - 1 + F.col("_base")).cast("bigint")).drop("_base")
+
+
+def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Batch: adds `name`, the row's rank from 0 by `order` (a total order) within `groups`, without
+    putting a whole group in one task."""
+    return _ranked(slices(df, [*groups, *order]), groups, order, name).drop("_slice")
 
 
 def topic_log(df: DataFrame, order: list[str], partitions: int = 4) -> DataFrame:
     """Batch: turns rows (topic, key, value, timestamp, optional pin and headers) into a log: placed on
-    partitions, with dense offsets and a global sequence in publish order."""
+    partitions, with dense offsets and a global sequence in publish order. One set of slices, in
+    publish order, serves both numberings."""
     from tidelog.operators.placement import place
 
-    placed = place(df, partitions, order)
-    placed = number_rows(placed, PLACE, order, "offset")
-    return number_rows(placed, [], order, "sequence")
+    sliced = slices(place(df, partitions, order), order)
+    return _ranked(_ranked(sliced, PLACE, order, "offset"), [], order, "sequence").drop("_slice")
 
 
 def _names(names) -> list[str]:
