@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tidelog.llm import language_id as L
 
 WORDS = {"aa": ["the", "and", "thing", "over", "shed"], "bb": ["über", "schön", "nicht", "keit", "ung"]}
@@ -53,3 +55,32 @@ def test_no_labels_and_empty_table(spark):
     model = L.train(docs)
     assert [g.lang_pred for g in L.identify(docs, model).collect()] == ["und"]
     assert L.identify(docs.limit(0), model).count() == 0
+
+
+def test_logits_equal_plain_averages():
+    """Every 3- and 4-gram of bytes without an inner break, averaged over the whole text."""
+    r, rng = random.Random(3), np.random.default_rng(4)
+    texts = ["", "a", "ab", "abc", "Ab1c", "é", "x y z", "üüü 12 Aa-bb"] + ["".join(r.choices("abZé .1\n", k=r.randint(1, 40))) for _ in range(60)]
+    model = L.LanguageModel(["p", "q", "s"], rng.normal(size=(1 << L.BITS, 3)), rng.normal(size=3), 1.0, 0.0)
+
+    def plain(text):
+        data = [b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in text.encode()]
+        rows = []
+        for n in (3, 4):
+            for i in range(len(data) - n + 1):
+                if 0x20 not in data[i + 1 : i + n - 1]:
+                    code = sum(b << 8 * k for k, b in enumerate(data[i : i + n]))
+                    mixed = (code * 0x9E3779B1 + (n * 0x85EBCA6B & 0xFFFFFFFF)) & 0xFFFFFFFF
+                    rows.append(model.table[(mixed * 0xC2B2AE35 & 0xFFFFFFFF) >> 32 - L.BITS])
+        return (np.mean(rows, axis=0) if rows else np.zeros(3)) + model.bias
+
+    data = [t.encode() for t in texts]
+    got = model.logits(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]))
+    assert np.allclose(got, [plain(t) for t in texts])
+
+
+def test_threshold_of_many_and_of_few_rows():
+    scores = 1 / (1 + np.exp(-np.random.default_rng(1).normal(6, 1, 100_000)))
+    assert 0.0005 <= (scores < L.threshold(scores)).mean() <= 0.0011
+    few = [L.threshold(scores[k : k + 40]) for k in range(0, 20_000, 40)]
+    assert np.mean([(scores < x).mean() for x in few]) < 0.004

@@ -21,7 +21,7 @@ BITS, DIM = 13, 16
 UNKNOWN = "und"
 #: The rejection threshold is this quantile of the log odds of calibration rows, or so many standard
 #: deviations below their mean where that is less, as few rows don't show such a quantile.
-REJECTED, DEVIATIONS = 0.001, 3.5
+REJECTED, DEVIATIONS = 0.001, 3.1
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
