@@ -1,20 +1,25 @@
-"""Reliable checkpoints."""
+"""Reliable checkpoints and the folder for them."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder that the session names in
-    spark.checkpoint.dir, which driver and executors share. Only a local session, as in tests, gets a
-    temporary folder where none is named; a cluster gets an error."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir, which driver and executors share. Only
+    a local session, as in tests, gets a temporary folder where none is named; a cluster gets an error."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
