@@ -363,8 +363,8 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A row's set is its distinct n-grams of `gram` words (A-Z lower-cased); rows link where
     100 * overlap >= percent * union; component_id is the smallest id reachable. Null and empty texts have an empty set and
     link with nothing (component_id is their own id). Repeated rows and ids each come back; null ids
-    do not count as smallest, and a component of null ids alone has a null id. Other columns are not
-    read.
+    do not count as smallest, and a component of null ids alone has a null id. Ids are
+    bigint or cast to it. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))

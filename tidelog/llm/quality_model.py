@@ -14,7 +14,7 @@ from . import wordhash as W
 from .common import held_out, table
 from .toxicity import labelled
 
-#: Labelled rows that the model is fitted on (at most twice as many); everything is scored.
+#: Labelled rows that the model is fitted on (about so many); everything is scored.
 TRAIN_ROWS = 3000
 THRESHOLD = 0.3
 _SYMBOL = np.zeros(256, bool)
@@ -189,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: in
 def score(docs: DataFrame, model: LineField, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of every row, from all lines of its whole text. A null or empty text
     is one empty line and gets that line's score. Repeated rows and repeated or null ids each come
-    back; other columns are not read. A row needs no other row, so nothing is shuffled."""
+    back; other columns are not read, whatever their names. Ids are bigint or cast to it. A row needs
+    no other row, so nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
