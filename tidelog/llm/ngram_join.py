@@ -13,7 +13,7 @@ compared block against block, with a bound on the symmetric difference from pari
 only pairs that the bound lets pass leave the task.
 
 Scale: n-grams travel packed (a few bytes each) to fragments, the number of which follows the bytes of
-text, so a task holds those of PART_BYTES at any size; what is broadcast has a fixed bound (FREQUENT
+text, so a task holds those of PART_BYTES; what is broadcast has a fixed bound (FREQUENT
 n-grams, FILTER_BITS); no group is collected.
 n-grams and sets are compared by 64-bit hashes.
 """
@@ -40,8 +40,9 @@ MAP_BITS = 1024
 #: Bits of the filter for texts in pairs: sixteen for each text, within these bounds (32 MB at most).
 FILTER_BITS = 1 << 20, 1 << 28
 FRAGMENTS = 4  # vertical fragments of a set in the exact comparison
-#: Bytes of text whose n-grams one task counts, and n-grams that are packed together.
-PART_BYTES, FLUSH = 1 << 28, (1 << 20, 1 << 23)
+#: Bytes of text whose n-grams one task counts, up to so many tasks (beyond, a task holds more: at
+#: 100 TB about 800 MB of text, a quarter of that in a fragment), and n-grams that are packed together.
+PART_BYTES, MOST_PARTS, FLUSH = 1 << 26, 1 << 17, (1 << 20, 1 << 23)
 _U = np.uint64
 
 
@@ -369,7 +370,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     held = docs.agg(F.sum(F.octet_length(text)).alias("bytes")).first().bytes or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // PART_BYTES))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, -(-held // PART_BYTES)))
     bits = max(8, int(np.ceil(np.log2(4 * parts))))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     often, counts = frequent(base.select("text"), bits, gram)
