@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .conversations import op12_conversation_repair
 from .decontaminate import op4_decontaminate
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .mixing import op5_source_mix
+from .negatives import op11_hard_negatives
+from .neighbours import op13_nearest_neighbours
 from .ngram_join import op3_ngram_join
 from .quality_model import op7_quality_model
 from .quality_rules import op1_quality_rules
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 ORACLES = {
     "op9_line_dedup": OP9_SQL,
