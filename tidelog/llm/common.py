@@ -30,6 +30,21 @@ def sample_by_id(df: DataFrame, rows: int, key: str = "doc_id", seed: int = 7) -
     return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(scale)) < keep).dropDuplicates([key])
 
 
+def within_bytes(packed: DataFrame, sizes: list[str], most: int, key: str = "doc_id") -> DataFrame:
+    """Of rows that a model is to be fitted on those of the smallest hashes of `key` that together have at
+    most so many bytes in these columns; one that does not fit any more is left out whole. What is
+    decided on are two numbers a row, of a sample that is bounded in rows."""
+    packed = checkpoint(packed)
+    size = sum((F.octet_length(c) for c in sizes), F.lit(0)).cast("bigint")
+    left, chosen = most, []
+    for r in packed.select(key, F.xxhash64(F.lit(13), key).alias("h"), size.alias("n")).orderBy("h", key).collect():
+        if r.n <= left:
+            left -= r.n
+            chosen.append(r[key])
+    kept = packed.sparkSession.createDataFrame([(c,) for c in chosen], f"{key} bigint")
+    return packed.join(F.broadcast(kept), key, "left_semi")  # of bounded rows
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of an undirected graph: (a, b) bigint edges -> (node, component), the
     component being the smallest node reachable. Nodes without an edge are absent; null ends are

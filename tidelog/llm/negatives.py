@@ -26,7 +26,7 @@ from .common import checkpoint, table
 #: Codewords of a half at most; rows of a cell on average while there are fewer.
 MOST_WORDS, CELL_ROWS = 64, 32
 #: Rows that are scored together, of the cells visited so far.
-GATHER = 256
+GATHER = 512
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 #: How much sums of half-scores are rounded up, as a share of the norms' product.
 SLACK = 1e-9
@@ -56,10 +56,12 @@ def decoded(raw: list, dim: int) -> np.ndarray:
     return out
 
 
-def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact inner products as longs. Doubles are exact while no partial sum passes 2^53, else whole
-    numbers of any size are used; beyond a long's ends a score is that end."""
-    if float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * len(q) < 2**53:
+def scores(x: np.ndarray, q: np.ndarray, most: float | None = None) -> np.ndarray:
+    """Exact inner products as longs. Doubles are exact while no partial sum passes 2^53 (`most`: the
+    largest component of x and of others with it), else whole numbers of any size are used; beyond a
+    long's ends a score is that end."""
+    most = float(np.abs(x).max(initial=0)) if most is None else most
+    if most * float(np.abs(q).max(initial=0)) * len(q) < 2**53:
         return (x @ q).astype(np.int64)
     whole = [int(v) for v in q]
     return np.array([min(HIGHEST, max(LOWEST, sum(int(a) * b for a, b in zip(row, whole, strict=True)))) for row in x], np.int64)
@@ -125,6 +127,7 @@ class Block:
         order = np.lexsort((batch.column("id").to_numpy(), number))
         self.x = decoded([batch.column("vec")[i].as_py() for i in order.tolist()], dim)
         self.ids, self.labels = batch.column("id").to_numpy()[order], batch.column("label").to_numpy()[order]
+        self.most = float(np.abs(self.x).max(initial=0))
         here, start = np.unique(number[order], return_index=True)
         ends = np.append(start[1:], len(order))
         self.rows = {tuple(c): (i, j) for c, i, j in zip(cells.cells[here].tolist(), start.tolist(), ends.tolist(), strict=True)}
@@ -160,8 +163,8 @@ class Block:
             self._score(q, gathered, want)
 
     def _score(self, q: np.ndarray, parts: list, want) -> None:
-        rows = np.concatenate([np.arange(i, j) for i, j in parts])
-        want.take(scores(self.x[rows], q), self.ids[rows], self.labels[rows])
+        of = lambda v: np.concatenate([v[i:j] for i, j in parts])
+        want.take(np.concatenate([scores(self.x[i:j], q, self.most) for i, j in parts]), of(self.ids), of(self.labels))
 
 
 def _first(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -181,40 +184,57 @@ class Positives:
         return max(self.floor, int(self.score[-1])) if len(self.score) == self.k else self.floor
 
     def take(self, score, ids, labels) -> None:
-        some = (labels == self.label) & (score >= self.need())
+        some = np.flatnonzero((labels == self.label) & (score >= self.need()))
+        if not len(some):
+            return
         score, ids = np.append(self.score, score[some]), np.append(self.ids, ids[some])
         best = _first(score, ids, self.k)
         self.score, self.ids = score[best], ids[best]
 
+    def found(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(self.score, self.ids)]
+
 
 class Windows:
-    """For each positive's score the first k rows of other labels whose scores lie in its window."""
+    """For each positive's score the first k rows of other labels whose scores lie in its window. One pool
+    of rows serves all windows; a row stays in it while it is among the first k of one of them."""
 
     def __init__(self, label: int, k: int, of: list[int], floors: list[int]):
-        self.label, self.k, self.of = label, k, of
-        self.ends = [(-(-LEAST * p // OF), MOST * p // OF) for p in of]  # whole numbers, so these are exact
-        self.floors = [max(lo, f) for (lo, _), f in zip(self.ends, floors, strict=True)]
-        none = np.zeros(0, np.int64)
-        self.score, self.ids = [none] * len(of), [none] * len(of)
-
-    def _need(self, n: int) -> int:
-        lo, hi = self.ends[n]
-        if lo > hi:
-            return HIGHEST
-        return max(self.floors[n], int(self.score[n][-1])) if len(self.score[n]) == self.k else self.floors[n]
+        self.label, self.k = label, k
+        self.low = np.array([-(-LEAST * p // OF) for p in of], np.int64)  # of whole numbers, so these are exact
+        self.high = np.array([MOST * p // OF for p in of], np.int64)
+        self.floor = np.maximum(self.low, np.array(floors, np.int64))
+        self.open = self.low <= self.high
+        self.top = int(self.high[self.open].max(initial=LOWEST))
+        self.least = int(self.floor[self.open].min(initial=HIGHEST))
+        self.score, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def need(self) -> int:
-        return min((self._need(n) for n in range(len(self.of))), default=HIGHEST)
+        return self.least
+
+    def _held(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the pool of each window's first rows, and which of them there are."""
+        at = np.searchsorted(-self.score, -self.high)[:, None] + np.arange(self.k)
+        there = at < len(self.score)
+        at = np.where(there, at, 0)
+        return at, there & self.open[:, None] & (self.score[at] >= self.low[:, None]) if len(self.score) else there
 
     def take(self, score, ids, labels) -> None:
-        some = (labels != self.label) & (score >= self.need())
-        score, ids = score[some], ids[some]
-        for n, (_, hi) in enumerate(self.ends):
-            fits = (score >= self._need(n)) & (score <= hi)
-            if fits.any():
-                s, i = np.append(self.score[n], score[fits]), np.append(self.ids[n], ids[fits])
-                best = _first(s, i, self.k)
-                self.score[n], self.ids[n] = s[best], i[best]
+        some = np.flatnonzero((score >= self.least) & (score <= self.top) & (labels != self.label))
+        if not len(some):
+            return
+        score, ids = np.append(self.score, score[some]), np.append(self.ids, ids[some])
+        order = np.lexsort((ids, -score))
+        self.score, self.ids = score[order], ids[order]
+        at, there = self._held()
+        known = np.where(there[:, -1], self.score[at[:, -1]], LOWEST)
+        self.least = int(np.maximum(self.floor, known)[self.open].min(initial=HIGHEST))
+        kept = np.unique(at[there])
+        self.score, self.ids = self.score[kept], self.ids[kept]
+
+    def found(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        at, there = self._held()
+        return [(self.score[a[t]], self.ids[a[t]]) for a, t in zip(at, there, strict=True)]
 
 
 def _index(rows: DataFrame, dim: int) -> tuple[DataFrame, Cells]:
@@ -286,8 +306,7 @@ def _searched(index: DataFrame, asked: DataFrame, cells: Cells, dim: int, made)
         for n, (anchor, label, more) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("id", "label", "more")], strict=True)):
             want = made(label, more)
             block.search(q[n], a[n], b[n], want)
-            parts = [(want.score, want.ids)] if isinstance(want, Positives) else list(zip(want.score, want.ids, strict=True))
-            for which, (score, ids) in enumerate(parts):
+            for which, (score, ids) in enumerate(want.found()):
                 out[0] += [anchor] * len(ids)
                 out[1] += [which] * len(ids)
                 out[2] += ids.tolist()

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import held_out, table
+from .common import held_out, table, within_bytes
 from .toxicity import labelled
 
 #: Labelled rows that the model is fitted on (about so many); everything is scored.
 TRAIN_ROWS = 3000
+#: ... and bytes of their lines' features (36 a line) that reach the driver at most.
+TRAIN_BYTES = 64 << 20
 THRESHOLD = 0.3
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -143,7 +145,8 @@ def _lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 12, label: str = "quality") -> LineField:
     """Every line of a training row takes the row's label; the field's weights and transitions are
     fitted by stochastic gradient steps on its likelihood, then the document score is calibrated."""
-    got = labelled(docs, labels, label, rows).mapInArrow(_lines_of, "doc_id bigint, label int, x binary, w binary").collect()
+    lines_ = labelled(docs, labels, label, rows).mapInArrow(_lines_of, "doc_id bigint, label int, x binary, w binary")
+    got = within_bytes(lines_, ["x", "w"], TRAIN_BYTES).collect()
     got = sorted(got, key=lambda r: (r.doc_id, bytes(r.x)))
     y = np.array([r.label for r in got])
     model = LineField(np.zeros(N_FEATURES), np.zeros((2, 2)))

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import held_out, sample_by_id, table
+from .common import held_out, sample_by_id, table, within_bytes
 
 #: Labelled rows that the model is fitted on (about so many); everything is scored.
 TRAIN_ROWS = 8000
+#: ... and bytes of their terms (eight each) that reach the driver at most.
+TRAIN_BYTES = 256 << 20
 BITS, FACTORS = 20, 8
 #: Words count whole and by their first so many bytes, so that rare forms of one stem are known.
 STEMS = (5, 7)
@@ -145,8 +147,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataF
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str = "toxic", **options) -> FactorMachine:
-    """Fits on the rows of `labelled`; what reaches the driver is eight bytes for each of their terms."""
-    got = labelled(docs, labels, label, rows).mapInArrow(_features, "doc_id bigint, label int, terms binary, values binary").toArrow().sort_by("doc_id")
+    """Fits on the rows of `labelled`, as far as their terms have TRAIN_BYTES, eight bytes each."""
+    packed = labelled(docs, labels, label, rows).mapInArrow(_features, "doc_id bigint, label int, terms binary, values binary")
+    got = within_bytes(packed, ["terms", "values"], TRAIN_BYTES).toArrow().sort_by("doc_id")
     y = got.column("label").to_numpy().astype(float)
     each = [(np.frombuffer(t, np.int32), np.frombuffer(x, np.float32)) for t, x in zip(got.column("terms").to_pylist(), got.column("values").to_pylist(), strict=True)]
     return fit(each, y, **options)
