@@ -24,9 +24,10 @@ from . import vectors as V
 from .common import checkpoint, table
 
 #: Codewords of a half at most; rows of a cell on average while there are fewer.
-MOST_WORDS, CELL_ROWS = 64, 32
-#: Rows that are scored together, of the cells visited so far.
-GATHER = 512
+MOST_WORDS, CELL_ROWS = 64, 128
+#: Rows of visited cells that are looked at together; a block is scored in one product where at least this
+#: share of it lies in cells that may be visited, else cell by cell.
+GATHER, MOSTLY = 1024, 0.25
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 #: How much sums of half-scores are rounded up, as a share of the norms' product.
 SLACK = 1e-9
@@ -132,6 +133,7 @@ class Block:
         ends = np.append(start[1:], len(order))
         self.rows = {tuple(c): (i, j) for c, i, j in zip(cells.cells[here].tolist(), start.tolist(), ends.tolist(), strict=True)}
         self.left, self.right = np.unique(cells.cells[here, 0]), np.unique(cells.cells[here, 1])
+        self.cells, self.sizes = cells.cells[here], ends - start
 
     def visits(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[float, tuple[int, int]]]:
         """(bound, first row and one past the last) of this block's cells by falling sum of half-scores.
@@ -150,6 +152,16 @@ class Block:
 
     def search(self, q: np.ndarray, a: np.ndarray, b: np.ndarray, want) -> None:
         """Hands rows and scores to `want` until no cell to come can hold what it still needs."""
+        open_ = int(self.sizes[a[self.cells[:, 0]] + b[self.cells[:, 1]] >= want.need()].sum())
+        if not open_:
+            return
+        whole = scores(self.x, q, self.most) if open_ >= MOSTLY * len(self.ids) else None
+        of = lambda v, parts: np.concatenate([v[i:j] for i, j in parts])
+
+        def look(parts: list) -> None:
+            found = of(whole, parts) if whole is not None else np.concatenate([scores(self.x[i:j], q, self.most) for i, j in parts])
+            want.take(found, of(self.ids, parts), of(self.labels, parts))
+
         gathered, n = [], 0
         for bound, (i, j) in self.visits(a, b):
             if bound < want.need():
@@ -157,14 +169,10 @@ class Block:
             gathered.append((i, j))
             n += j - i
             if n >= GATHER:
-                self._score(q, gathered, want)
+                look(gathered)
                 gathered, n = [], 0
         if gathered:
-            self._score(q, gathered, want)
-
-    def _score(self, q: np.ndarray, parts: list, want) -> None:
-        of = lambda v: np.concatenate([v[i:j] for i, j in parts])
-        want.take(np.concatenate([scores(self.x[i:j], q, self.most) for i, j in parts]), of(self.ids), of(self.labels))
+            look(gathered)
 
 
 def _first(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
