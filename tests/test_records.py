@@ -1,11 +1,13 @@
 """Literal cases with known answers, and operators whose results are rows rather than tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import records as R
-from tidelog.operators import audit, framing, models, placement, settle, txn
+from tidelog.operators import audit, framing, models, placement, readers, settle, txn
 from tidelog.sources import logs
 
 
@@ -107,6 +109,24 @@ def test_capped_retries(spark):
         settle.retry_copies(empty, 2, "fixed")
 
 
+def test_unknown_outcomes_are_retries(spark):
+    df = spark.createDataFrame([(0, "ack"), (1, None), (2, "retry"), (3, "drop")], "offset bigint, outcome string").withColumns({"topic": F.lit("t"), "partition": F.lit(0), "headers": R.no_headers()})
+    assert [r.settled for r in settle.settle(df).orderBy("offset").collect()] == [True, False, False, True]
+    assert sorted(r.offset for r in settle.retry_copies(df, 3).collect()) == [1, 2] and sorted(r.offset for r in settle.dead_letters(df, 1, "dlq").collect()) == [1, 2]
+    assert settle.committed_tracked(settle.settle(df)).first().next_offset == 1
+
+
+def test_unknown_states_are_committed_everywhere(spark):
+    log = spark.createDataFrame([("t", 0, 0, None, True, None), ("t", 0, 1, "committed", True, None), ("t", 0, 2, "aborted", True, None)], LOG).withColumn("sequence", F.col("offset"))
+    assert [r.offset for r in logs.published_order(log, "t").collect()] == [0, 1] == sorted(r.offset for r in logs.read_isolated(log).collect())
+
+
+def test_copies_are_due_to_the_microsecond(spark):
+    df = spark.sql("SELECT timestamp_micros(1700000000123456) AS timestamp, 'retry_after' AS outcome, 7 AS delay_ms")
+    got = settle.deferred_copies(df, "2023-11-14 22:13:20.130455").select(F.unix_micros("available_at").alias("us"), "due").first()
+    assert (got.us, got.due) == (1700000000130456, False)
+
+
 def test_subscriptions_refuse_bad_names(spark):
     log = spark.createDataFrame([("t", 0, 0, "", True, None)], LOG)
     for bad in (lambda: logs.subscribe_topics(log, []), lambda: logs.subscribe_topics(log, ["a", ""]), lambda: logs.subscribe_topics(log, "^a"), lambda: logs.subscribe_pattern(log, "a"), lambda: logs.subscribe_partitions(log, "t", []), lambda: logs.start_positions(log, "offset", 3)):
@@ -144,10 +164,82 @@ def test_a_new_field_without_default_is_a_break(spark):
     assert [(r.direction, r.ok, r.problems) for r in got] == [("backward", False, ["item: the writer lacks it and it has no default"])]
 
 
+def versions(spark, kind, *definitions):
+    return spark.createDataFrame([(k, "s", k, kind, d if isinstance(d, str | None) else json.dumps(d)) for k, d in enumerate(definitions, 1)], "id int, subject string, version int, schema_type string, definition string")
+
+
+def verdict(spark, kind, writer, reader, level="BACKWARD"):
+    levels = spark.createDataFrame([("s", level)], "subject string, level string")
+    return [(r.direction, r.ok, r.problems) for r in sorted(audit.compatibility_audit(versions(spark, kind, writer, reader), levels).collect())]
+
+
+def record(name, *fields):
+    return {"type": "record", "name": name, "fields": [{"name": n, "type": t, **(more[0] if more else {})} for n, t, *more in fields]}
+
+
 def test_recursive_schemas_stop(spark):
-    schemas = spark.createDataFrame([(1, "tree", 1, "AVRO", TREE)], "id int, subject string, version int, schema_type string, definition string")
-    rows = audit.schema_fields(schemas, depth=2).collect()
-    assert any(r.type == "too deep" for r in rows) and {r.path for r in rows} >= {"", "kids", "kids[]"}
+    rows = audit.schema_fields(versions(spark, "AVRO", TREE, "{oops", None)).collect()
+    assert {(r.version, r.path, r.type) for r in rows} == {(1, "", "record Node"), (1, "kids", "array"), (1, "kids[]", "record Node"), (1, "kids[].kids", "array"), (1, "kids[].kids[]", "record Node"), (2, "", "unparsable"), (3, "", "unparsable")}
+    node = {"$ref": "#/$defs/n", "$defs": {"n": {"type": "object", "properties": {"v": {"enum": ["b", "a"]}, "next": {"anyOf": [{"$ref": "#/$defs/n"}, {"type": "null"}]}}, "required": ["v"]}}}
+    rows = audit.schema_fields(versions(spark, "JSON", node)).collect()
+    assert {(r.path, r.type, r.nullable, r.has_default, r.symbols) for r in rows} == {("", "object", False, False, None), ("v", "string", False, False, "a,b"), ("next", "object", True, True, None)}
+
+
+def test_what_is_not_compared_is_never_ok(spark):
+    assert verdict(spark, "AVRO", "{oops", "{oops")[0][1] is False
+    assert verdict(spark, "AVRO", record("R", ("x", "other.T")), record("R", ("x", "other.T"))) == [("backward", None, ["x: type other.T, which is defined elsewhere is not compared"])]
+    stamp = lambda unit: record("R", ("t", {"type": "long", "logicalType": f"timestamp-{unit}"}))
+    assert verdict(spark, "AVRO", stamp("millis"), stamp("micros"))[0][1] is None and verdict(spark, "AVRO", stamp("micros"), stamp("micros"))[0][1] is True
+    no = {"type": "string", "not": {"const": "x"}}
+    assert verdict(spark, "JSON", no, no) == [("backward", True, [])] and verdict(spark, "JSON", {"type": "string"}, no)[0][1] is None
+    assert verdict(spark, "JSON", no, {"type": "integer"})[0][1] is None  # what the writer leaves out may be all that differs
+    assert verdict(spark, "JSON", {"$ref": "other.json"}, {"$ref": "other.json"})[0][1] is None
+
+
+def test_sets_of_values(spark):
+    span = lambda **x: {"type": "integer"} | x
+    cases = [
+        (span(maximum=5), span(maximum=10), True), (span(maximum=10), span(maximum=5), False), (span(exclusiveMinimum=0), span(minimum=1), True), ({"type": "number", "minimum": 0}, {"type": "number", "exclusiveMinimum": 0}, False),
+        (span(format="int32"), span(format="int64"), True), (span(format="uint64"), span(format="int64"), False), (span(multipleOf=6), span(multipleOf=3), True), (span(multipleOf=3), span(multipleOf=6), False),
+        ({"enum": [1, 2]}, span(maximum=2), True), ({"enum": [1, 3]}, span(maximum=2), False), ({"const": "a"}, {"enum": ["a", "b"]}, True), ({"enum": ["a", "b"]}, {"const": "a"}, False),
+        ({"type": "string", "maxLength": 3}, {"type": "string", "maxLength": 4}, True), ({"type": "string"}, {"type": "string", "minLength": 1}, False),
+        ({"type": "array"}, {"type": "array", "items": {"type": "integer"}}, False), ({"type": "array", "items": {"type": "integer"}}, {"type": "array", "items": {"type": "number"}}, True),
+        ({"type": "array", "uniqueItems": True}, {"type": "array"}, True), ({"type": "array"}, {"type": "array", "uniqueItems": True}, False), ({"type": "array", "maxItems": 2}, {"type": "array", "maxItems": 1}, False),
+        (False, {"type": "string"}, True), (True, {"type": "string"}, False), ({"type": ["integer", "null"]}, {"anyOf": [{"type": "number"}, {"type": "null"}]}, True),
+        ({"allOf": [{"type": "integer"}, {"maximum": 5}]}, span(maximum=5), True), ({"type": "string", "format": "uuid"}, {"type": "string"}, True), ({"type": "string"}, {"type": "string", "format": "uuid"}, False),
+        ({"type": "object", "properties": {"a": {"type": "string"}}}, {"type": "object", "additionalProperties": {"type": "integer"}}, False),
+    ]
+    rows = [(k * 2 + n, f"s{k:02}", n + 1, "JSON", json.dumps(c[n])) for k, c in enumerate(cases) for n in (0, 1)]
+    got = audit.compatibility_audit(spark.createDataFrame(rows, "id int, subject string, version int, schema_type string, definition string"), spark.createDataFrame([], "subject string, level string")).collect()
+    assert {r.subject: r.ok for r in got} == {f"s{k:02}": c[2] for k, c in enumerate(cases)}
+
+
+def test_branches_and_types_that_come_back(spark):
+    tag = lambda t, **p: {"type": "object", "properties": {"t": {"const": t}, **p}, "required": ["t"]}
+    a, b = tag("a", x={"type": "integer"}), tag("b")
+    assert verdict(spark, "JSON", {"oneOf": [a, b]}, {"oneOf": [b, tag("a", x={"type": "string"})]}) == [("backward", False, ["<1>.x: integer is not read as string"])]
+    one = lambda t: {"type": "object", "properties": {"x": {"type": t}}, "required": ["x"]}
+    assert verdict(spark, "JSON", one("integer"), {"anyOf": [one("string"), one("number")]}) == [("backward", True, [])]
+    assert verdict(spark, "JSON", one("boolean"), {"anyOf": [one("string"), one("number")]}) == [("backward", False, [": object is read by no branch"])]
+    assert verdict(spark, "JSON", {"type": "integer"}, {"oneOf": [{"type": "integer"}, {"type": "number"}]})[0][1] is None  # both branches admit it
+    # A list whose items are lists of the same kind or numbers: branches that come back to themselves.
+    tree = lambda leaf: {"$ref": "#/$defs/n", "$defs": {"n": {"anyOf": [{"type": "array", "items": {"$ref": "#/$defs/n"}}, {"type": leaf}]}}}
+    deep = lambda leaf: {"$ref": "#/$defs/n", "$defs": {"n": {"anyOf": [one("string") | {"properties": {"x": {"$ref": "#/$defs/n"}}}, one("string") | {"properties": {"x": {"type": leaf}}}]}}}
+    assert [verdict(spark, "JSON", f("integer"), f("number"))[0][1] for f in (tree, deep)] == [True, True]
+    assert [verdict(spark, "JSON", f("number"), f("integer"))[0][1] for f in (tree, deep)] == [False, False]
+    linked = lambda kind: record("P", ("q", ["null", record("Q", ("p", ["null", "P"]), ("n", kind))]))
+    assert verdict(spark, "AVRO", linked("int"), linked("long"), "FULL") == [("backward", True, []), ("forward", False, ["q.n: long is not read as int"])]
+    old, new = record("Old", ("a", "int")), record("New", ("b", "int", {"aliases": ["a"]})) | {"aliases": ["x.Old"]}
+    assert verdict(spark, "AVRO", old, new) == [("backward", True, [])] and verdict(spark, "AVRO", new, old)[0][1] is False
+
+
+def test_definitions_are_compared_once(spark, monkeypatch):
+    """Ten thousand subjects of two definitions are two pairs."""
+    rows = spark.range(20000).select(F.col("id"), F.concat(F.lit("s"), F.floor(F.col("id") / 2)).alias("subject"), (F.col("id") % 2 + 1).alias("version"), F.lit("AVRO").alias("schema_type"), F.when(F.col("id") % 2 == 0, ORDER_1).otherwise(ORDER_2).alias("definition"))
+    met, compared = [], audit._compared
+    monkeypatch.setattr(audit, "_compared", lambda roots, nodes: met.append(roots.count()) or compared(roots, nodes))
+    out = audit.compatibility_audit(rows, spark.createDataFrame([], "subject string, level string"))
+    assert out.where("not ok").count() == 10000 and met == [1]
 
 
 def test_lanes_and_violations(spark):
@@ -162,6 +254,25 @@ def test_lanes_and_violations(spark):
     assert sorted(map(tuple, lanes.mapInPandas(seen, "key string, offset bigint").collect())) == [("a", 0), ("a", 1), ("a", 2), ("b", 3)]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_scans_of_a_hot_group(spark, parts):
+    rng = __import__("random").Random(1)
+    rows = [(0 if rng.random() < 0.5 else rng.choice([1, 2, 3, None]), i, rng.choice([None, 1, 2, 9]), rng.randint(-5, 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, at int, a int, b int").repartition(parts)
+    steps = {"total": ("sum", F.col("b")), "top": ("max", F.col("a")), "low": ("min", F.col("b")), "held": ("last", F.col("a"))}
+    for before in (False, True):
+        got = {r["at"]: (r.total, r.top, r.low, r.held) for r in logs.prefix_scan(df, ["g"], ["at"], steps, before).collect()}
+        for g, at, _, _ in rows:
+            own = [r for r in rows if r[0] == g and (r[1] < at or (r[1] == at and not before))]
+            known = [r[2] for r in own if r[2] is not None]
+            assert got[at] == ((sum(r[3] for r in own), max(known, default=None), min(r[3] for r in own), known[-1] if known else None) if own else (None,) * 4)
+    # Half of all rows are of one group; no task of the scan's windows has more than its slice of them.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sliced = logs.slices(df.withColumn("g", F.lit(7)), ["g", "at"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] < 250
+
+
 def test_fencing_and_exactly_once_rows(spark):
     log = spark.createDataFrame([("p", 1, 1), ("p", 2, 2), (None, None, None)], "transactional_id string, epoch bigint, txn bigint")
     marks = spark.createDataFrame([("p", 2, 2, "commit")], "transactional_id string, epoch bigint, txn bigint, marker string")
@@ -176,3 +287,20 @@ def test_written_logs_come_back_and_prune_by_topic(spark, tmp_path):
     plan = logs.subscribe_topics(back, "a")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan or "PartitionFilters: [(topic" in plan
     assert logs.subscribe_topics(back, "a").count() == 1
+
+
+def test_types_of_definitions(spark):
+    of = lambda kind, d: readers.spark_type(json.dumps(d), kind)
+    avro = record("R", ("i", "int"), ("n", ["null", "long"], {"default": None}), ("e", {"type": "enum", "name": "E", "symbols": ["A"]}), ("f", {"type": "fixed", "name": "F", "size": 4}), ("l", {"type": "array", "items": ["null", "string"]}), ("m", {"type": "map", "values": "E"}), ("s", record("S", ("x", "double", {"default": 1.5}))), ("again", "S"))
+    got = of("AVRO", avro)
+    assert got.simpleString() == "struct<i:int,n:bigint,e:string,f:binary,l:array<string>,m:map<string,string>,s:struct<x:double>,again:struct<x:double>>"
+    assert [f.nullable for f in got] == [False, True] + [False] * 6 and got["n"].metadata == {"default": None} and got["s"].dataType["x"].metadata == {"default": 1.5}
+    doc = {"type": "object", "properties": {"a": {"$ref": "#/$defs/x"}, "b": {"type": ["integer", "null"], "default": 3}, "c": {"anyOf": [{"type": "string"}, {"type": "null"}]}, "d": {"type": "object", "additionalProperties": {"type": "number"}}, "l": {"type": "array", "items": {"type": "boolean"}}}, "required": ["a", "b"], "$defs": {"x": {"enum": ["q"]}}}
+    got = of("JSON", doc)
+    assert got.simpleString() == "struct<a:string,b:bigint,c:string,d:map<string,double>,l:array<boolean>>"
+    assert [f.nullable for f in got] == [False, True, True, True, True] and got["b"].metadata == {"default": 3}
+    for kind, bad in (("AVRO", ["int", "string"]), ("AVRO", record("R", ("x", ["int", "string"]))), ("AVRO", record("R", ("x", ["null", "R"]))), ("AVRO", record("R", ("x", "Other"))), ("JSON", {"type": "object", "properties": {"a": {}}}), ("JSON", {"type": "object", "properties": {"n": {"$ref": "#/properties/n"}}}), ("JSON", True)):
+        with pytest.raises(readers.NoSuchType):
+            of(kind, bad)
+    with pytest.raises(readers.NoSuchType):
+        readers.spark_type("{oops", "JSON")

@@ -2,193 +2,171 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
-from tidelog.operators.framing import _is_text, _text, latest, record_names
+from tidelog.operators import schema_types as T
+from tidelog.operators.framing import _text, latest, record_names
 from tidelog.sources.checkpoints import checkpoint
 
 LEVELS = ("NONE", "BACKWARD", "BACKWARD_TRANSITIVE", "FORWARD", "FORWARD_TRANSITIVE", "FULL", "FULL_TRANSITIVE")
 
+def _keyed(schemas: DataFrame) -> DataFrame:
+    """Avro and JSON versions with the key of their definition, which equal definitions share."""
+    text = F.coalesce("definition", F.lit(""))
+    return schemas.where("schema_type in ('AVRO', 'JSON')").withColumns({"definition": text, "fp": F.unhex(F.sha2(F.concat("schema_type", F.lit(":"), text), 256))})
 
-PRIMITIVES = ("null", "boolean", "int", "long", "float", "double", "bytes", "string")
-SLOT = "struct<key:string,path:string,up:string,up_kind:string,t:variant,has_default:boolean>"
-
-
-def _part(v: Column, path: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(v, path, kind)
-
-
-def _branches(t: Column, json: Column) -> Column:
-    """The types that a slot holds, as variants, null among them: of an Avro union its branches."""
-    union = _part(t, "$", "array<variant>")
-    return F.when(~json & union.isNotNull(), union).otherwise(F.array(t))
-
-
-def _kinds(t: Column, json: Column) -> Column:
-    """Types in words. Avro: a primitive, `record Name`, `enum Name`, `fixed Name size`, array, map, or
-    a name given elsewhere; names unqualified, as readers compare them. JSON: the names under `type`,
-    `any` or `never` where a schema says nothing or refuses everything."""
-    short = lambda n: F.substring_index(n, ".", -1)
-
-    def avro(b: Column) -> Column:
-        kind, name = _text(b, "$.type"), short(_text(b, "$.name"))
-        named = F.when(kind.isin("record", "enum"), F.concat_ws(" ", kind, name)).when(kind == "fixed", F.concat_ws(" ", kind, name, _text(b, "$.size"))).otherwise(kind)
-        return F.when(_is_text(b), short(_text(b, "$"))).otherwise(named)
-
-    many = _part(t, "$.type", "array<string>")
-    lone = F.when(_text(t, "$") == "false", "never").otherwise(F.coalesce(_text(t, "$.type"), F.when(_part(t, "$.properties").isNotNull(), "object").when(_part(t, "$.enum").isNotNull(), "string").otherwise("any")))
-    return F.when(json, F.coalesce(many, F.array(lone))).otherwise(F.transform(_branches(t, json), avro))
-
-
-def _children(slot: Column, json: Column) -> Column:
-    """The slots right below a slot. A child's key names the types it is reached by, so that the same
-    field is met whether or not one side wraps its record in a union; its path does so in unions only."""
-    t, path = slot["t"], slot["path"]
-    dot = F.when(path == "", path).otherwise(F.concat(path, F.lit(".")))
-
-    def made(kind, key, at, child, optional):
-        return F.struct(
-            F.concat(slot["key"], F.lit("|"), kind, key).alias("key"), at.alias("path"), slot["key"].alias("up"), kind.alias("up_kind"), child.alias("t"), optional.alias("has_default"),
-        ).cast(SLOT)
-
-    def avro(b: Column, kind: Column, inside: Column) -> Column:
-        base = F.when(inside, F.concat(path, F.lit("|"), kind)).otherwise(path)
-        stem = F.when(base == "", base).otherwise(F.concat(base, F.lit(".")))
-        field = lambda f: made(kind, F.concat(F.lit("."), _text(f, "$.name")), F.concat(stem, _text(f, "$.name")), _part(f, "$.type"), _part(f, "$.default").isNotNull())
-        lone = lambda name, mark: F.array(made(kind, F.lit(mark), F.concat(base, F.lit(mark)), _part(b, f"$.{name}"), F.lit(False)))
-        what = _text(b, "$.type")
-        fields = F.transform(_part(b, "$.fields", "array<variant>"), field)
-        return F.when(what == "record", fields).when(what == "array", lone("items", "[]")).when(what == "map", lone("values", "{}"))
-
-    branches = _branches(t, json)
-    inside = F.size(F.filter(branches, lambda b: F.coalesce(_text(b, "$"), F.lit("")) != "null")) > 1
-    below = F.transform(F.zip_with(branches, _kinds(t, json), lambda b, k: F.struct(b.alias("b"), k.alias("k"))), lambda x: F.coalesce(avro(x["b"], x["k"], inside), F.array().cast(f"array<{SLOT}>")))
-    needed = F.coalesce(_part(t, "$.required", "array<string>"), F.array().cast("array<string>"))
-    of_object = lambda key, at, child, optional: made(F.lit("object"), key, at, child, optional)
-    properties = F.transform(F.map_entries(_part(t, "$.properties", "map<string,variant>")), lambda e: of_object(F.concat(F.lit("."), e["key"]), F.concat(dot, e["key"]), e["value"], ~F.array_contains(needed, e["key"])))
-    extra, items = _part(t, "$.additionalProperties"), _part(t, "$.items")
-    more = F.when(_part(extra, "$", "map<string,variant>").isNotNull(), F.array(of_object(F.lit("{}"), F.concat(path, F.lit("{}")), extra, F.lit(True))))
-    each = F.when(items.isNotNull(), F.array(made(F.lit("array"), F.lit("[]"), F.concat(path, F.lit("[]")), items, F.lit(True))))
-    none = F.array().cast(f"array<{SLOT}>")
-    return F.when(json, F.concat(F.coalesce(properties, none), F.coalesce(more, none), F.coalesce(each, none))).otherwise(F.flatten(below))
-
-
-def _slots(schemas: DataFrame, depth: int) -> DataFrame:
-    """A row for each slot of each Avro and JSON version: subject, version, key, path, up and up_kind (the
-    slot and type that it lies in), kinds (its types but null), nullable, has_default, symbols, fallback
-    (an enum's default reads unknown symbols), closed, ref (named elsewhere) and deep.
-
-    Each definition is parsed once and its levels are unfolded within the row."""
-    json = F.col("schema_type") == "JSON"
-    root = F.struct(F.lit("").alias("key"), F.lit("").alias("path"), F.lit(None).cast("string").alias("up"), F.lit(None).cast("string").alias("up_kind"), F.try_parse_json("definition").alias("t"), F.lit(False).alias("has_default"))
-    df = schemas.where("schema_type in ('AVRO', 'JSON')").select("subject", "version", "schema_type", F.array(root.cast(SLOT)).alias("l0"))
-    for k in range(depth):
-        df = df.withColumn(f"l{k + 1}", F.flatten(F.transform(f"l{k}", lambda s: _children(s, json))))
-    tagged = lambda k: F.transform(f"l{k}", lambda s: F.struct(s.alias("s"), F.lit(k == depth).alias("last")))
-    levels = F.concat(*[tagged(k) for k in range(depth + 1)])
-    named = F.flatten(F.transform(F.concat(*[f"l{k}" for k in range(depth + 1)]), lambda s: F.filter(_kinds(s["t"], json), lambda k: ~json & k.contains(" "))))
-    df = df.select("subject", "version", "schema_type", named.alias("named"), F.explode(levels).alias("x")).select("subject", "version", "schema_type", "named", "x.last", "x.s.*")
-    df = df.withColumn("said", _kinds(F.col("t"), json))
-    known = lambda k: F.coalesce(F.get(F.filter("named", lambda n: F.split(n, " ")[1] == k), F.lit(0)), k)
-    elsewhere = lambda k: ~json & ~k.contains(" ") & ~k.isin(*PRIMITIVES, "array", "map")
-    enums = F.filter(_branches(F.col("t"), json), lambda b: F.when(json, F.lit(True)).otherwise(_text(b, "$.type") == "enum"))
-    names = lambda b: F.coalesce(F.when(json, _part(b, "$.enum", "array<string>")).otherwise(_part(b, "$.symbols", "array<string>")), F.array().cast("array<string>"))
-    return df.select(
-        "subject", "version", json.alias("json"), "key", "path", "up", "up_kind",
-        F.transform(F.filter("said", lambda k: k != "null"), lambda k: F.when(elsewhere(k), known(k)).otherwise(k)).alias("kinds"),
-        F.array_contains("said", "null").alias("nullable"), "has_default", F.array_sort(F.flatten(F.transform(enums, names))).alias("symbols"),
-        F.exists(enums, lambda b: ~json & _part(b, "$.default").isNotNull()).alias("fallback"), F.coalesce(_text(F.col("t"), "$.additionalProperties") == "false", F.lit(False)).alias("closed"),
-        F.exists("said", elsewhere).alias("ref"), (F.col("last") & (F.size(_children(F.struct("key", "path", "up", "up_kind", "t", "has_default"), json)) > 0)).alias("deep"),
-    )
-
-
-def schema_fields(schemas: DataFrame, depth: int = 6) -> DataFrame:
-    """(subject, version, path, type, nullable, has_default, symbols) of every Avro and JSON version.
 
-    Items of arrays and values of maps have the path `x[]` and `x{}`, what lies in a branch of a union
-    `x|record Name`. type: the types but null, joined by `|`; symbols: an enum's, sorted, joined by
-    commas. has_default: of JSON properties whether they may be absent. A type that goes deeper than
-    `depth` levels ends in a row of type `too deep`; one named elsewhere in its schema, as a recursive
-    one is, is not followed."""
-    slots = _slots(schemas, depth)
-    own = F.struct("path", F.array_join("kinds", "|").alias("type"), "nullable", "has_default", F.when(F.size("symbols") > 0, F.array_join("symbols", ",")).alias("symbols"))
-    no = F.lit(False)
-    deeper = F.struct(F.concat("path", F.lit(".*")).alias("path"), F.lit("too deep").alias("type"), no.alias("nullable"), no.alias("has_default"), F.lit(None).cast("string").alias("symbols"))
-    return slots.select("subject", "version", F.explode(F.when(F.col("deep"), F.array(own, deeper)).otherwise(F.array(own))).alias("x")).select("subject", "version", "x.*")
+def _compiled(keyed: DataFrame, make: Callable[[bytes, list[dict]], list[dict]], schema: pa.Schema, ddl: str) -> DataFrame:
+    """Rows that `make` gives of each distinct definition's nodes; a definition is read once, however many
+    versions and subjects have it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [x for r in batch.to_pylist() for x in make(r["fp"], T.nodes_of(r["schema_type"], r["definition"]))]
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
-#: Schema sets are written by hand; more than this are refused.
-MOST_SETS = 10_000
+    return keyed.select("fp", "schema_type", "definition").distinct().mapInArrow(run, ddl)
 
-#: Writer type -> reader types that read it, besides itself.
-PROMOTES = {"int": ("long", "float", "double"), "long": ("float", "double"), "float": ("double",), "string": ("bytes",), "bytes": ("string",), "integer": ("number",)}
 
+_BODIES = pa.schema([("fp", pa.binary()), ("body", pa.string())])
+_FIELDS = pa.schema([("fp", pa.binary()), ("path", pa.string()), ("type", pa.string()), ("nullable", pa.bool_()), ("has_default", pa.bool_()), ("symbols", pa.string())])
 
-def _unread(writer: str, reader: str) -> Column:
-    """The first of a writer's types that none of the reader's types reads; null where all are read."""
 
-    def reads(w: Column, r: Column) -> Column:
-        ok = (w == r) | (r == "any")
-        for one, more in PROMOTES.items():
-            ok = ok | ((w == one) & r.isin(*more))
-        return ok
+def schema_fields(schemas: DataFrame) -> DataFrame:
+    """(subject, version, path, type, nullable, has_default, symbols) of every Avro and JSON version.
 
-    return F.get(F.filter(writer, lambda w: ~F.exists(reader, lambda r: reads(w, r))), F.lit(0))
+    Items of arrays and values of maps have the path `x[]` and `x{}`, what lies in a branch of a union
+    `x|record Name`, in a branch of oneOf or anyOf `x<1>`. type: the types but null, joined by `|`, with
+    named types, `$ref` and allOf followed; symbols: an enum's, sorted, joined by commas. has_default:
+    of JSON properties whether they may be absent. A type is unfolded where it is first met, so a
+    recursive one ends where it comes back; a definition that does not parse is one row of type
+    `unparsable`."""
+    keyed = _keyed(schemas)
+    fields = _compiled(keyed, lambda fp, nodes: [{"fp": fp} | f for f in T.fields_of(nodes)], _FIELDS, "fp binary, path string, type string, nullable boolean, has_default boolean, symbols string")
+    return keyed.select("subject", "version", "fp").join(fields, "fp").drop("fp")
 
 
-def compatibility_audit(schemas: DataFrame, levels: DataFrame, depth: int = 6) -> DataFrame:
+#: Schema sets are written by hand; more than this are refused.
+MOST_SETS = 10_000
+
+#: Bytes of all compiled definitions that are broadcast; more are joined by a shuffle.
+BROADCAST_DEFINITIONS = 8 << 20
+_ROOT = ["reader", "writer", "root_r", "root_w"]
+_MET = "reader binary, writer binary, root_r int, root_w int, problems array<string>, unknown array<string>, choices array<struct<text:string,pairs:array<struct<r:int,w:int>>>>"
+_MET_ARROW = pa.schema([("reader", pa.binary()), ("writer", pa.binary()), ("root_r", pa.int32()), ("root_w", pa.int32()), ("problems", pa.list_(pa.string())), ("unknown", pa.list_(pa.string())), ("choices", pa.list_(pa.struct([("text", pa.string()), ("pairs", pa.list_(pa.struct([("r", pa.int32()), ("w", pa.int32())])))])))])
+
+
+def _versions_to_compare(schemas: DataFrame, levels: DataFrame) -> DataFrame:
+    """(subject, new_version, old_version, direction, reader, writer), the last two as definitions' keys."""
+    v = schemas.select("subject", "version", "fp").join(levels.select("subject", "level"), "subject", "left")
+    v = v.withColumn("level", F.coalesce("level", F.lit("BACKWARD"))).where("level <> 'NONE'")
+    every, w = F.col("level").endswith("_TRANSITIVE"), Window.partitionBy("subject").orderBy("version")
+    latest_ = v.where(~every).withColumns({"old_version": F.lag("version").over(w), "old_fp": F.lag("fp").over(w)}).where("old_version is not null")
+    earlier = v.where(every).select("subject", F.col("version").alias("old_version"), F.col("fp").alias("old_fp"))
+    all_ = v.where(every).join(earlier, "subject").where("old_version < version")
+    ways = F.when(F.col("level").startswith("FULL"), F.array(F.lit("backward"), F.lit("forward"))).when(F.col("level").startswith("FORWARD"), F.array(F.lit("forward"))).otherwise(F.array(F.lit("backward")))
+    pairs = latest_.unionByName(all_).withColumn("direction", F.explode(ways))
+    back = F.col("direction") == "backward"
+    return pairs.select("subject", F.col("version").alias("new_version"), "old_version", "direction", F.when(back, F.col("fp")).otherwise(F.col("old_fp")).alias("reader"), F.when(back, F.col("old_fp")).otherwise(F.col("fp")).alias("writer"))
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each root (a pair of nodes of two definitions) all that is said on the pairs it leads to. A pair
+    is taken once, where it is first met, so recursive types end."""
+    body = lru_cache(256)(json.loads)
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            mine, theirs = body(row.pop("r_body")), body(row.pop("w_body"))
+            said: dict = {"problem": [], "unknown": [], "any": []}
+            todo, seen = [(row["root_r"], row["root_w"], "")], {(row["root_r"], row["root_w"])}
+            for r, w, path in todo:
+                for tag, *x in T.compare(mine[r], theirs[w] if w >= 0 else T.ANYTHING, (r, w), path):
+                    if tag != "pair":
+                        said[tag].append(x[0] if tag != "any" else {"text": x[0], "pairs": [{"r": a, "w": b} for a, b, _ in x[1]]})
+                    elif (x[0], x[1]) not in seen:
+                        seen.add((x[0], x[1]))
+                        todo.append(tuple(x))
+            out.append(row | {"problems": sorted(set(said["problem"])), "unknown": sorted(set(said["unknown"])), "choices": said["any"]})
+        yield pa.RecordBatch.from_pylist(out, _MET_ARROW)
+
+
+def _compared(roots: DataFrame, definitions: DataFrame) -> DataFrame:
+    """What the comparison of these roots (reader, writer, root_r, root_w) says, and of all others that it
+    hangs on: where a writer's branch may be read by one of several of the reader's, each of those pairs
+    is a root of its own. Rounds are semi-naive: each takes the roots that the one before brought up
+    and that are not done yet, so branches that come back to themselves end too."""
+    size = definitions.agg(F.sum(F.length("body"))).first()[0] or 0
+    definitions = F.broadcast(definitions) if size <= BROADCAST_DEFINITIONS else definitions
+    side = lambda name: definitions.select(F.col("fp").alias(name), F.col("body").alias(f"{name[0]}_body"))
+    todo, done = roots, None
+    while True:
+        out = checkpoint(todo.join(side("reader"), "reader").join(side("writer"), "writer").select(*_ROOT, "r_body", "w_body").mapInArrow(_meet, _MET))
+        done = out if done is None else done.unionByName(out)
+        if out.where(F.size("choices") > 0).limit(1).count() == 0:
+            return done
+        below = out.select("reader", "writer", F.explode(F.flatten("choices.pairs")).alias("x")).select("reader", "writer", F.col("x.r").alias("root_r"), F.col("x.w").alias("root_w")).distinct()
+        todo = checkpoint(below.join(done.select(*_ROOT), _ROOT, "left_anti"))
+
+
+def _settled(met: DataFrame) -> DataFrame:
+    """(reader, writer, problems, unknown) of the whole definitions. Where one of several branches will do,
+    the verdict hangs on those of other roots: all start as good and fall until nothing changes."""
+    own = met.select(*_ROOT, "problems", "unknown")
+    choices = met.select(*_ROOT, F.explode("choices").alias("x")).select(*_ROOT, "x.text", F.explode("x.pairs").alias("p")).select(*_ROOT, "text", F.col("p.r").alias("alt_r"), F.col("p.w").alias("alt_w")).distinct()
+    if choices.limit(1).count():
+        choices = checkpoint(choices)
+        base = F.when(F.size("problems") > 0, 0).when(F.size("unknown") > 0, 1).otherwise(2)
+        state = checkpoint(own.select(*_ROOT, base.alias("good")))
+        total = -1
+        while (now := state.agg(F.sum("good")).first()[0]) != total:
+            total = now
+            group = choices.join(state.select("reader", "writer", F.col("root_r").alias("alt_r"), F.col("root_w").alias("alt_w"), "good"), ["reader", "writer", "alt_r", "alt_w"]).groupBy(*_ROOT, "text").agg(F.max("good").alias("good"))
+            worst = group.groupBy(*_ROOT).agg(F.min("good").alias("least"))
+            state = checkpoint(state.join(worst, _ROOT, "left").select(*_ROOT, F.least("good", F.coalesce("least", F.lit(2))).alias("good")))
+        pick = lambda n, c: F.collect_list(F.when(F.col("good") == n, F.col("text"))).alias(c)
+        more = group.groupBy(*_ROOT).agg(pick(0, "failed"), pick(1, "unsure"))
+        own = own.join(more, _ROOT, "left")
+        with_ = lambda c, x: F.array_sort(F.array_distinct(F.concat(c, F.coalesce(x, F.array().cast("array<string>"))))).alias(c)
+        own = own.select(*_ROOT, with_("problems", "failed"), with_("unknown", F.transform("unsure", lambda t: F.concat(t, F.lit(", for all that is compared")))))
+    return own.where("root_r = 0 and root_w = 0").select("reader", "writer", "problems", "unknown")
+
+
+def compatibility_audit(schemas: DataFrame, levels: DataFrame) -> DataFrame:
     """(subject, new_version, old_version, direction, ok, problems): each version against the earlier ones
     its subject's level names (the latest of them, or all where transitive; undeclared: BACKWARD; NONE:
     no rows). backward: the new schema reads what the old wrote; forward: the other way round. A
-    resolution that fails for only some values fails.
+    resolution that fails for only some values fails. A definition that does not parse is a problem.
 
     Avro: every branch of a writer's union has to be read by some type of the reader, every symbol by
-    the reader's enum unless that has a default. JSON: types, null, enums, properties required of the
-    writer or refused by a closed object. Where either side goes deeper than `depth` and no problem is
-    found above, ok is null and the problem says so."""
-    slots = checkpoint(_slots(schemas, depth))  # it is read four times
-    v = slots.groupBy("subject", "version").agg(F.bool_or("deep").alias("deep"))
-    pairs = v.withColumnsRenamed({"version": "new_version", "deep": "new_deep"}).join(v.withColumnsRenamed({"version": "old_version", "deep": "old_deep"}), "subject").where("old_version < new_version")
-    pairs = pairs.join(levels.select("subject", "level"), "subject", "left").withColumn("level", F.coalesce("level", F.lit("BACKWARD"))).where("level <> 'NONE'")
-    newest = F.max("old_version").over(Window.partitionBy("subject", "new_version"))
-    pairs = pairs.withColumn("_top", newest).where(F.col("level").endswith("_TRANSITIVE") | (F.col("old_version") == F.col("_top")))
-    backward, forward = F.lit("backward"), F.lit("forward")
-    ways = F.when(F.col("level").startswith("FULL"), F.array(backward, forward)).when(F.col("level").startswith("FORWARD"), F.array(forward)).otherwise(F.array(backward))
-    pairs = pairs.select("subject", "new_version", "old_version", (F.col("new_deep") | F.col("old_deep")).alias("deep"), F.explode(ways).alias("direction"))
-    back = F.col("direction") == "backward"
-    pairs = pairs.withColumns({"reader": F.when(back, F.col("new_version")).otherwise(F.col("old_version")), "writer": F.when(back, F.col("old_version")).otherwise(F.col("new_version"))})
-    keys = ["subject", "new_version", "old_version", "direction"]
-    side = lambda name: pairs.join(slots.withColumnRenamed("version", name), ["subject", name])
-    r = side("reader").select(*keys, "key", F.struct("json", "path", "kinds", "nullable", "has_default", "symbols", "fallback", "closed", "up", "up_kind", "ref").alias("r"))
-    w = side("writer").select(*keys, "key", F.struct("path", "kinds", "nullable", "has_default", "symbols", "closed", "up", "up_kind", "ref").alias("w"))
-    # What lies above a slot that only one side has: the other side's slot there.
-    met = r.join(w, [*keys, "key"], "full_outer").withColumn("up", F.coalesce("r.up", "w.up"))
-    met = met.join(w.select(*keys, F.col("key").alias("up"), F.struct("w.kinds", "w.ref").alias("wu")), [*keys, "up"], "left").join(r.select(*keys, F.col("key").alias("up"), F.struct("r.kinds", "r.closed", "r.json").alias("ru")), [*keys, "up"], "left")
-    say = lambda *parts: F.concat(F.coalesce("r.path", "w.path"), F.lit(": "), *[F.lit(p) if isinstance(p, str) else p for p in parts])
-    unread = _unread("w.kinds", "r.kinds")
-    symbol = F.get(F.array_except("w.symbols", "r.symbols"), F.lit(0))
-    listed = F.size("r.symbols") > 0
-    problem = (
-        F.when(F.col("w").isNull() & F.array_contains("wu.kinds", F.col("r.up_kind")) & ~F.col("wu.ref") & ~F.col("r.has_default"), say("the writer lacks it and it has no default"))
-        .when(F.col("w").isNull(), F.lit(None).cast("string"))
-        .when(F.col("r").isNull() & F.col("ru.closed") & F.array_contains("ru.kinds", F.col("w.up_kind")), say("the reader's object is closed and lacks it"))
-        .when(F.col("r").isNull(), F.lit(None).cast("string"))
-        .when(unread.isNotNull(), say(unread, " is not read as ", F.array_join("r.kinds", "|")))
-        .when(F.col("w.nullable") & ~F.col("r.nullable") & ~F.array_contains("r.kinds", "any"), say("the writer may write null"))
-        .when(F.col("r.json") & ~F.col("r.has_default") & F.col("w.has_default"), say("the writer may leave it out"))
-        .when(F.col("r.closed") & ~F.col("w.closed") & F.array_contains("w.kinds", "object"), say("the reader's object is closed and the writer's is open"))
-        .when(listed & (F.size("w.symbols") == 0) & F.col("r.json"), say("the writer may write other values than the enum's"))
-        .when(listed & symbol.isNotNull() & ~F.col("r.fallback"), say("symbol ", symbol, " is not read"))
-    )
-    found = met.withColumn("problem", problem).groupBy(*keys).agg(F.array_sort(F.collect_list("problem")).alias("found"))
-    found = pairs.select(*keys, "deep").join(found, keys)
-    none = F.size("found") == 0
-    verdict = F.when(none & F.col("deep"), F.lit(None).cast("boolean")).otherwise(none)
-    return found.select(*keys, verdict.alias("ok"), F.when(none & F.col("deep"), F.array(F.lit("too deep to tell"))).otherwise(F.col("found")).alias("problems"))
+    the reader's enum unless that has a default; records match by unqualified name or alias, fields by
+    name or alias, decimals by precision and scale. JSON: all that the writer's schema admits has to be
+    admitted by the reader's: types, null, enum and const, ranges, multiples, lengths and counts,
+    formats, required and undeclared properties, and each branch of its oneOf or anyOf by one of the
+    reader's. Properties that the writer does not declare count as not written, unless the reader is
+    closed. Whatever a schema says besides (`schema_types.COMPARED`), a reference that leads out of it
+    and logical types that differ are not compared: `ok` is null then, and the problems name it, unless
+    there is a problem for certain.
+
+    Definitions are compiled and compared once, however many versions have them; a pair of types is
+    compared once for a pair of definitions, and reported at its first path. A subject's versions are
+    ordered in one task: a registry holds few of them."""
+    keyed = _keyed(schemas)
+    definitions = checkpoint(_compiled(keyed, lambda fp, nodes: [{"fp": fp, "body": json.dumps(nodes)}], _BODIES, "fp binary, body string"))
+    pairs = checkpoint(_versions_to_compare(keyed, levels))
+    roots = pairs.select("reader", "writer", F.lit(0).alias("root_r"), F.lit(0).alias("root_w")).distinct()
+    verdicts = _settled(_compared(roots, definitions))
+    sure = F.size("problems") > 0
+    ok = F.when(sure, False).when(F.size("unknown") > 0, F.lit(None).cast("boolean")).otherwise(True)
+    verdicts = verdicts.select("reader", "writer", ok.alias("ok"), F.when(sure, F.col("problems")).otherwise(F.col("unknown")).alias("problems"))
+    return pairs.join(verdicts, ["reader", "writer"]).drop("reader", "writer")
 
 
 def topic_coverage(topics: DataFrame, schemas: DataFrame) -> DataFrame:

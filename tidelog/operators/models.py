@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.sources.logs import prefix_scan, start_at
+
 
 def ordered_lanes(df: DataFrame, lane: str, order: list[str], partitions: int | None = None) -> DataFrame:
     """Rows dealt by lane, each lane in order in one task, lanes in parallel: the shape that a per-lane
@@ -14,11 +16,11 @@ def ordered_lanes(df: DataFrame, lane: str, order: list[str], partitions: int |
 
 
 def order_violations(df: DataFrame, key: str = "key", processed: str = "processed_at") -> DataFrame:
-    """(key, violations): rows of a key that were processed before the row in front of them in its
-    partition's offset order; keys without any are left out."""
-    w = Window.partitionBy(key, "topic", "partition").orderBy("offset")
-    bad = df.withColumn("_bad", F.coalesce(F.col(processed) < F.lag(processed).over(w), F.lit(False)))
-    return bad.where("_bad").groupBy(key).agg(F.count("*").alias("violations"))
+    """Batch: (key, violations): rows of a key that were processed before the row in front of them in its
+    partition's offset order; keys without any are left out. A row without a moment is in front of
+    none: the next is held against the last one that has it. A hot key is spread over all tasks."""
+    seen = prefix_scan(df.select(key, "topic", "partition", "offset", processed), [key, "topic", "partition"], ["offset"], {"_before": ("last", F.col(processed))}, before=True)
+    return seen.where(F.col(processed) < F.col("_before")).groupBy(key).agg(F.count("*").alias("violations"))
 
 
 def project_balances(df: DataFrame, account: str = "account", amount: str = "amount") -> DataFrame:
@@ -40,9 +42,9 @@ def needs_rebuild(model_revision: int | None, batch: DataFrame) -> bool:
 
 
 def running_ledger(df: DataFrame, account: str, amount: str, order: list[str]) -> DataFrame:
-    """Adds balance: the account's running sum after every entry, in order."""
-    w = Window.partitionBy(account).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("balance", F.sum(amount).over(w))
+    """Batch: adds balance: the account's running sum after every entry, in order (a total order). An account
+    of any share of the rows is spread over all tasks."""
+    return prefix_scan(df, [account], order, {"balance": ("sum", F.col(amount))})
 
 
 def enrich_totals(lines: DataFrame, order: str, quantity: str) -> DataFrame:
@@ -69,6 +71,4 @@ def reconcile(df: DataFrame, batch: str, amount: str) -> DataFrame:
 def replay_since(log: DataFrame, since, key: str, amount: str) -> DataFrame:
     """(key, n, total) recomputed from a moment on: every partition is read from its first record at or
     after it."""
-    from tidelog.sources.logs import start_at
-
     return start_at(log, "timestamp", since).groupBy(key).agg(F.count("*").alias("n"), F.sum(amount).alias("total"))

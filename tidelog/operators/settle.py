@@ -1,7 +1,8 @@
 """Outcomes to settlement: commits, retries, dead letters.
 
 Deliveries carry `outcome` (ack, drop, retry, retry_after) and, for retry_after, `delay_ms`; both come
-from the user's column expressions.
+from the user's column expressions. An outcome that is not known (null), as of a handler that was cut
+off, is a retry everywhere: the record stays open, and gets its copy or its dead letter.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def settle(df: DataFrame, mode: str = "tracked", outcome: str = "outcome") -> Da
     retry cannot be given."""
     if mode not in MODES:
         raise ValueError(f"unknown commit mode {mode!r}")
-    again = F.coalesce(F.col(outcome).isin("retry", "retry_after"), F.lit(True))
+    again = _retrying(outcome)
     settled = F.lit(True) if mode == "auto" else ~again
     return df.withColumns({"settled": settled, "aborts_window": again & F.lit(mode == "transactional"), "unsupported": again & F.lit(mode == "auto")})
 
@@ -99,8 +100,8 @@ def ordinal(headers="headers") -> Column:
     return R.delivery_ordinal(headers)
 
 
-def _retrying() -> Column:
-    return F.coalesce(F.col("outcome").isin("retry", "retry_after"), F.lit(False))
+def _retrying(outcome: str = "outcome") -> Column:
+    return F.coalesce(F.col(outcome).isin("retry", "retry_after"), F.lit(True))
 
 
 def retry_copies(df: DataFrame, cap: int, target: str = "own", topic: str | None = None) -> DataFrame:
@@ -130,7 +131,7 @@ def deferred_copies(df: DataFrame, now) -> DataFrame:
     """Batch form of retry_after: copies with available_at, and whether they are due at `now`. Records
     behind do not wait. Copies are rows, so unlike in-memory timers they survive a restart."""
     delay = F.coalesce("delay_ms", F.lit(0))
-    at = F.timestamp_millis(F.unix_millis("timestamp") + delay)
+    at = F.timestamp_micros(F.unix_micros("timestamp") + 1000 * delay)
     return df.where("outcome = 'retry_after'").withColumn("available_at", at).withColumn("due", F.col("available_at") <= F.lit(now).cast("timestamp"))
 
 

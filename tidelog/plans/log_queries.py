@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,8 +12,6 @@ from tidelog.operators import settle as C
 from tidelog.operators import txn as X
 from tidelog.plans.fixtures import LOG, OUT, TXN, event_log, event_rows, group_offsets, outcomes, table, transactions
 from tidelog.sources import logs as L
-from tidelog.sources.checkpoints import shared_folder
-from tidelog.streaming import flows
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -269,10 +265,10 @@ def dead_letters(s, d):
     return C.dead_letters(_attempted(s, d), 3, "events.dlq").select("event_id", "topic", F.col("value").cast("string").alias("payload"), R.header_value("headers", R.RETRY_HEADER).alias("retries"))
 
 
-@query("""SELECT event_id, epoch_us(ts) // 1000 + (event_id % 7) * 60000 AS available_ms, epoch_us(ts) // 1000 + (event_id % 7) * 60000 <= epoch_ms(TIMESTAMP '2024-01-15') AS due FROM events WHERE event_id % 97 = 5""")
+@query("""SELECT event_id, epoch_us(ts) + (event_id % 7) * 60000000 AS available_us, epoch_us(ts) + (event_id % 7) * 60000000 <= epoch_us(TIMESTAMP '2024-01-15') AS due FROM events WHERE event_id % 97 = 5""")
 def deferred_copies(s, d):
     log = outcomes(event_log(s, d)).withColumns({"outcome": F.when(F.col("outcome") == "retry", "retry_after").otherwise(F.col("outcome")), "delay_ms": F.col("event_id") % 7 * 60000})
-    return C.deferred_copies(log, "2024-01-15").select("event_id", F.unix_millis("available_at").alias("available_ms"), "due")
+    return C.deferred_copies(log, "2024-01-15").select("event_id", F.unix_micros("available_at").alias("available_us"), "due")
 
 
 _ROUNDS = f"""{OUT}, r AS (SELECT *, unnest([1, 2, 3]) AS round FROM out), seen AS (SELECT *, CASE WHEN event_id % 97 <> 5 THEN 1 ELSE least(3, event_id % 4 + 1) END AS last FROM r)"""
@@ -361,36 +357,6 @@ def placement_balance(s, d):
     return K.placement_balance(event_log(s, d))
 
 
-def _stored(s, d) -> str:
-    """The event log as write_log stores it, in a folder of this run."""
-    target = f"{shared_folder(s)}/{uuid.uuid4().hex}"
-    K.write_log(event_log(s, d).select("topic", "partition", "offset", "timestamp", "key", "value", "headers"), f"{target}/log")
-    return target
-
-
-_STORED = f"""WITH {LOG} SELECT topic, partition, "offset", key, payload, epoch_us(ts) AS micros FROM log"""
-
-
-def _told(log):
-    return log.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("payload"), F.unix_micros("timestamp").alias("micros"))
-
-
-@query(_STORED)
-def write_log(s, d):
-    """What is read back of a log that was written."""
-    return _told(L.read_log(s, f"{_stored(s, d)}/log"))
-
-
-@query(f"""WITH {LOG} SELECT topic, partition, max("offset") + 1 AS next_offset, count(*) AS n FROM log GROUP BY ALL""")
-def eos_sink(s, d):
-    """Positions and rows that the exactly-once sink stored of a streamed log, in micro-batches."""
-    target = _stored(s, d)
-    stream = flows.read_bounded(s, f"{target}/log", 8)
-    flows.eos_sink(stream, f"{target}/out", f"{target}/progress", _told).awaitTermination()
-    n = s.read.parquet(f"{target}/out").groupBy("topic", "partition").agg(F.count("*").alias("n"))
-    return flows.committed_positions(s, f"{target}/out").join(n, ["topic", "partition"])
-
-
 # ---- transactions ----
 
 

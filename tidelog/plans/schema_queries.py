@@ -169,8 +169,26 @@ def _deep(leaf: str, levels: int = 5) -> dict:
     return _record(("a", _deep(leaf, levels - 1) if levels else leaf), name=f"D{levels}")
 
 
+def _linked(kind: str) -> dict:
+    """Two records, each of which may hold the other."""
+    return _record(("q", ["null", _record(("p", ["null", "P"]), ("n", kind), name="Q")]), name="P")
+
+
+def _tagged(name: str, **more) -> dict:
+    return _object(["kind"], kind={"const": name}, **more)
+
+
+def _decimal(scale: int) -> dict:
+    return {"type": "bytes", "logicalType": "decimal", "precision": 9, "scale": scale}
+
+
+def _list_of(kind: str) -> dict:
+    node = _object([], v={"type": kind}, next={"anyOf": [{"$ref": "#/$defs/node"}, {"type": "null"}]})
+    return {"$ref": "#/$defs/node", "$defs": {"node": node}}
+
+
 _P = _record(("q", "int"), name="P")
-#: By order key modulo 8: flavor, version 1 and version 2 of a subject's schema.
+#: By order key modulo their number: flavor, version 1 and version 2 of a subject's schema.
 KINDS = [
     ("AVRO", _record(("x", ["int", "string"])), _record(("x", ["int", "boolean"]))),
     ("AVRO", _record(("c", {"type": "enum", "name": "C", "symbols": ["B", "A"]})), _record(("c", {"type": "enum", "name": "C", "symbols": ["A"]}))),
@@ -180,13 +198,26 @@ KINDS = [
     ("JSON", _object([], b={"type": "string"}, e={"enum": ["x", "y"]}), _object(["b"], b={"type": ["string"]}, e={"enum": ["x"]})),
     ("AVRO", _record(("p", _P)), _record(("p", ["null", _P]))),
     ("AVRO", _record(("p", _P), ("u", "P")), _record(("p", _P), ("u", "acme.P"))),
+    ("AVRO", "{oops", "{oops"),
+    # The named type stands in another place on either side.
+    ("AVRO", _record(("x", _record(("k", "int"), name="A")), ("y", "A")), _record(("y", _record(("k", "int"), ("z", "string"), name="A")), ("x", "A"))),
+    ("AVRO", _linked("int"), _linked("long")),
+    ("JSON", _object([], n={"type": "integer", "maximum": 10}, s={"type": "string"}), _object([], n={"type": "integer", "maximum": 5}, s={"type": "string", "maxLength": 9})),
+    ("JSON", {"$ref": "#/$defs/a", "$defs": {"a": _object([], v={"type": "integer"})}}, {"$ref": "#/$defs/b", "$defs": {"b": _object([], v={"type": "string"})}}),
+    ("JSON", {"oneOf": [{"type": "integer"}, {"type": "boolean"}]}, {"oneOf": [{"type": "string"}, {"type": "boolean"}]}),
+    ("JSON", {"oneOf": [_tagged("card", n={"type": "integer"}), _tagged("cash")]}, {"oneOf": [_tagged("cash"), _tagged("card", n={"type": "number"})]}),
+    ("AVRO", _record(("d", _decimal(2)), ("old", "int")), {**_record(("d", _decimal(4))), "fields": [{"name": "d", "type": _decimal(4)}, {"name": "new", "type": "int", "aliases": ["old"]}]}),
+    ("JSON", _object([], a={"type": "string"}), _object([], a={"type": "string", "not": {"const": "x"}})),
+    ("JSON", _object(["x"], x={"type": "integer"}), {"anyOf": [_object(["x"], x={"type": "string"}), _object(["x"], x={"type": "number"})]}),
+    ("JSON", _list_of("integer"), _list_of("number")),
+    ("JSON", _object([]), "{oops"),
 ]
 
 
 def _kinds(s, d):
     """Two versions of a schema of the order's kind, for each order."""
     k = F.col("o_orderkey") % len(KINDS)
-    pick = lambda at: F.element_at(F.array(*[F.lit(x[at] if at == 0 else json.dumps(x[at])) for x in KINDS]), (k + 1).cast("int"))
+    pick = lambda at: F.element_at(F.array(*[F.lit(x[at] if at == 0 or isinstance(x[at], str) else json.dumps(x[at])) for x in KINDS]), (k + 1).cast("int"))
     two = F.array(*[F.struct(F.lit(n).alias("version"), pick(n).alias("definition")) for n in (1, 2)])
     rows = table(s, d, "orders").select("o_orderkey", F.concat(F.lit("kind-"), "o_orderkey").alias("subject"), pick(0).alias("schema_type"), F.explode(two).alias("x"))
     return rows.select("o_orderkey", "subject", "schema_type", "x.version", "x.definition", (F.col("o_orderkey") * 2 + F.col("x.version")).alias("id"))
@@ -199,7 +230,7 @@ def _kinds(s, d):
 {'version': 2, 'path': CASE WHEN o_orderkey % 2 = 1 THEN 'item' ELSE 'note' END, 'type': CASE WHEN o_orderkey % 2 = 1 THEN 'record I' ELSE 'string' END, 'nullable': o_orderkey % 2 = 0, 'has_default': o_orderkey % 2 = 0},
 CASE WHEN o_orderkey % 2 = 1 THEN {'version': 2, 'path': 'item.sku', 'type': 'string', 'nullable': false, 'has_default': false} END]) AS v FROM orders) WHERE v IS NOT NULL""")
 def schema_fields(s, d):
-    return A.schema_fields(_fleet(s, d), depth=3)
+    return A.schema_fields(_fleet(s, d))
 
 
 @query("""SELECT 'order-' || o_orderkey AS subject, 2 AS new_version, 1 AS old_version, w AS direction,
@@ -209,18 +240,31 @@ ELSE CASE WHEN o_orderkey % 3 = 0 THEN 'n: long is not read as int' ELSE '' END
 FROM orders, (VALUES ('backward'), ('forward')) AS ways(w) WHERE o_orderkey % 4 > 0 AND (w = 'backward' OR o_orderkey % 4 = 1)
 UNION ALL SELECT 'kind-' || o_orderkey, 2, 1, v.direction, v.ok, v.problems FROM orders JOIN (VALUES
 (0, 'backward', false, 'x: string is not read as int|boolean'), (0, 'forward', false, 'x: boolean is not read as int|string'),
-(1, 'backward', false, 'c: symbol B is not read'), (1, 'forward', true, ''), (2, 'backward', NULL, 'too deep to tell'), (2, 'forward', NULL, 'too deep to tell'),
+(1, 'backward', false, 'c: symbol B is not read'), (1, 'forward', true, ''),
+(2, 'backward', false, 'a.a.a.a.a.a: int is not read as string'), (2, 'forward', false, 'a.a.a.a.a.a: string is not read as int'),
 (3, 'backward', true, ''), (3, 'forward', false, 'a: number is not read as integer'),
 (4, 'backward', false, ': the reader''s object is closed and the writer''s is open; z: the reader''s object is closed and lacks it'), (4, 'forward', true, ''),
 (5, 'backward', false, 'b: the writer may leave it out; e: symbol y is not read'), (5, 'forward', true, ''),
-(6, 'backward', true, ''), (6, 'forward', false, 'p: the writer may write null'), (7, 'backward', true, ''), (7, 'forward', true, '')
-) AS v(kind, direction, ok, problems) ON o_orderkey % 8 = v.kind""")
+(6, 'backward', true, ''), (6, 'forward', false, 'p: the writer may write null'), (7, 'backward', true, ''), (7, 'forward', true, ''),
+(8, 'backward', false, ': the reader''s definition does not parse'), (8, 'forward', false, ': the reader''s definition does not parse'),
+(9, 'backward', false, 'x.z: the writer lacks it and it has no default; y.z: the writer lacks it and it has no default'), (9, 'forward', true, ''),
+(10, 'backward', true, ''), (10, 'forward', false, 'q.n: long is not read as int'),
+(11, 'backward', false, 'n: (,10] is not within (,5]; s: length 0 to any is not within 0 to 9'), (11, 'forward', true, ''),
+(12, 'backward', false, 'v: integer is not read as string'), (12, 'forward', false, 'v: string is not read as integer'),
+(13, 'backward', false, '<1>: integer is read by no branch'), (13, 'forward', false, '<1>: string is read by no branch'),
+(14, 'backward', true, ''), (14, 'forward', false, '<2>.n: number is not read as integer'),
+(15, 'backward', false, 'd: decimal(9,2) is not read as decimal(9,4)'), (15, 'forward', false, 'd: decimal(9,4) is not read as decimal(9,2); old: the writer lacks it and it has no default'),
+(16, 'backward', NULL, 'a: not is not compared'), (16, 'forward', true, ''),
+(17, 'backward', true, ''), (17, 'forward', false, '<1>.x: string is not read as integer; <2>.x: number is not read as integer'),
+(18, 'backward', true, ''), (18, 'forward', false, 'v: number is not read as integer'),
+(19, 'backward', false, ': the reader''s definition does not parse'), (19, 'forward', false, ': the writer''s definition does not parse')
+) AS v(kind, direction, ok, problems) ON o_orderkey % 20 = v.kind""")
 def compatibility_audit(s, d):
     fleet = _fleet(s, d)
     kinds = _kinds(s, d)
     full = kinds.where("version = 1").select("subject", F.lit("FULL").alias("level"))
     levels = fleet.where("version = 1").select("subject", F.when(F.col("o_orderkey") % 4 == 0, "NONE").when(F.col("o_orderkey") % 4 == 1, "FULL").when(F.col("o_orderkey") % 4 == 2, "BACKWARD_TRANSITIVE").alias("level"))
-    return A.compatibility_audit(fleet.unionByName(kinds), levels.where("level is not null").unionByName(full), depth=3).withColumn("problems", F.array_join("problems", "; "))
+    return A.compatibility_audit(fleet.unionByName(kinds), levels.where("level is not null").unionByName(full)).withColumn("problems", F.array_join("problems", "; "))
 
 
 @query("""SELECT 'events.' || event_type AS topic, side, 'events.' || event_type || '-' || side AS subject, CASE WHEN side = 'key' OR event_type = 'click' THEN 'ok' WHEN event_type = 'view' THEN 'namespace' ELSE 'absent' END AS finding

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import records as R
@@ -36,19 +36,48 @@ def slices(df: DataFrame, by: list[str]) -> DataFrame:
     return checkpoint(df.repartitionByRange(*[F.col(c) for c in by]).withColumn("_slice", F.spark_partition_id()))
 
 
-def _ranked(ranged: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
-    """Ranks from 0 of sliced rows: each slice's count is added up in order over a table of one row for
-    each slice and group; ranks within a slice start from that base."""
-    counts = ranged.groupBy("_slice", *groups).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    base = base.select(F.col("_slice").alias("_at"), *[F.col(g).alias(f"_of_{g}") for g in groups], "_base")
+#: Steps of a prefix scan: the total of a slice's rows, and what a row makes of all slices before its own
+#: (`carry`) and of its slice up to itself (`own`). `last` is the last value that is not null.
+_STEPS = {
+    "sum": (F.sum, lambda carry, own: F.when(carry.isNull(), own).when(own.isNull(), carry).otherwise(carry + own)),
+    "max": (F.max, F.greatest), "min": (F.min, F.least),
+    "last": (lambda c: F.last(c, ignorenulls=True), lambda carry, own: F.coalesce(own, carry)),
+}
+
+
+def _scanned(ranged: DataFrame, groups: list[str], order: list[str], steps: dict, before: bool) -> DataFrame:
+    """A prefix scan of sliced rows in two levels: each slice's totals are scanned over a table of one row
+    for each slice and group, rows within a slice go on from there. No task has more of a group than
+    its own slice's rows."""
+    # Slices follow the order, so within a group they come one after the other.
+    end = 0 if not before else -1
     own = Window.partitionBy("_slice", *groups).orderBy(*order)
+    totals = ranged.withColumns({f"_v{i}": c for i, (_, c) in enumerate(steps.values())})
+    lasts = [i for i, (kind, _) in enumerate(steps.values()) if kind == "last"]
+    place = F.struct(*order)
+    totals = totals.groupBy("_slice", *groups).agg(*[
+        (F.max_by(f"_v{i}", F.when(F.col(f"_v{i}").isNotNull(), place)) if i in lasts else _STEPS[kind][0](F.col(f"_v{i}"))).alias(f"_t{i}") for i, (kind, _) in enumerate(steps.values())
+    ])
+    earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col("_slice").alias("_at"), *[F.col(g).alias(f"_of_{g}") for g in groups], *[_STEPS[kind][0](F.col(f"_t{i}")).over(earlier).alias(f"_c{i}") for i, (kind, _) in enumerate(steps.values())])
     on = F.col("_slice") == F.col("_at")
     for g in groups:
         on = on & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
-    joined = ranged.join(base, on).drop("_at", *[f"_of_{g}" for g in groups])
-    return joined.withColumn(name, (F.row_number().over(own) - 1 + F.col("_base")).cast("bigint")).drop("_base")
+    made = {name: _STEPS[kind][1](F.col(f"_c{i}"), _STEPS[kind][0](c).over(own.rowsBetween(Window.unboundedPreceding, end))) for i, (name, (kind, c)) in enumerate(steps.items())}
+    return ranged.join(totals, on).withColumns(made).drop("_at", *[f"_of_{g}" for g in groups], *[f"_c{i}" for i in range(len(steps))])
+
+
+def prefix_scan(df: DataFrame, groups: list[str], order: list[str], steps: dict, before: bool = False) -> DataFrame:
+    """Batch: adds for each `name: (kind, column)` of steps the column's running sum, max, min or last value
+    within `groups` by `order` (a total order), up to a row or, with `before`, up to the one in front of
+    it (null for the first). A group of any share of the rows is spread over all tasks."""
+    return _scanned(slices(df, [*groups, *order]), groups, order, steps, before).drop("_slice")
+
+
+def _ranked(ranged: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Ranks from 0 of sliced rows: how many are in front of each."""
+    out = _scanned(ranged, groups, order, {name: ("sum", F.lit(1).cast("bigint"))}, True)
+    return out.withColumn(name, F.coalesce(name, F.lit(0)).cast("bigint"))
 
 
 def number_rows(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
@@ -151,13 +180,17 @@ def start_at(log: DataFrame, position: str, value=None, **named) -> DataFrame:
     return from_positions(log, start_positions(log, position, value, **named))
 
 
+def txn_state() -> Column:
+    """A record's state; one whose state is not known (null) is outside any transaction, so committed."""
+    return F.coalesce("txn_state", F.lit("committed"))
+
+
 def read_isolated(log: DataFrame, level: str = "read_committed", positions: DataFrame | None = None) -> DataFrame:
     """Records visible from each partition's position (0 where none is given). read_committed leaves out
     aborted records and stops in front of the first pending one at or after the position;
-    read_uncommitted gives every data record. Control entries are never given. A record whose state
-    is not known (null) is outside any transaction, so it is committed."""
+    read_uncommitted gives every data record. Control entries are never given. See `txn_state` for nulls."""
     here = log if positions is None else from_positions(log, positions)
-    here = here.withColumn("txn_state", F.coalesce("txn_state", F.lit("committed")))
+    here = here.withColumn("txn_state", txn_state())
     if level == "read_uncommitted":
         return here.where("txn_state <> 'control'")
     if level != "read_committed":
@@ -175,8 +208,8 @@ def lag(log: DataFrame, committed: DataFrame, level: str = "read_committed") ->
 
 
 def published_order(log: DataFrame, topic: str) -> DataFrame:
-    """Committed records of a topic in publish order over its partitions."""
-    return log.where((F.col("topic") == topic) & (F.col("txn_state") == "committed")).orderBy("sequence")
+    """Committed records of a topic in publish order over its partitions. See `txn_state` for nulls."""
+    return log.where((F.col("topic") == topic) & (txn_state() == "committed")).orderBy("sequence")
 
 
 def bounded_batches(log: DataFrame, size: int) -> DataFrame:

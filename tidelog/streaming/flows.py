@@ -17,46 +17,54 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tidelog.operators import models
 from tidelog.sources.logs import SCHEMA, read_log
+from tidelog.sources.stream_source import register
+from tidelog.streaming.commits import CommitLog
 
 
-def read_bounded(spark: SparkSession, source, size: int, fmt: str = "parquet", **options) -> DataFrame:
-    """A log stream whose micro-batches are bounded: at most `size` records with the connector, at most
-    `size` files otherwise."""
+def read_bounded(spark: SparkSession, source, size: int, fmt: str = "tidelog", **options) -> DataFrame:
+    """A log stream whose micro-batches hold at most `size` records: with the log's own source (a path;
+    it needs the option `progress`, and takes start, reset and topics, see sources.stream_source) or with
+    the connector. A file format (`parquet`) can only bound files: then at most `size` of them."""
+    if fmt == "tidelog":
+        register(spark)
+        return spark.readStream.format(fmt).options(path=source, records=size, **options).load()
     bound = {"maxOffsetsPerTrigger": size} if fmt == "kafka" else {"maxFilesPerTrigger": size}
     return read_log(spark, source, fmt, streaming=True, **bound, **options)
 
 
+#: Copies that are due within the same so many milliseconds share a timer; none is given out before it is due.
+DUE_MS = 100
+
+
 class _Deferral(StatefulProcessor):
-    """Holds a lane's copies until they are due. Held rows are state, so they survive a restart. Rows lie
-    under their due time and number, so a row is written once, and read once when its timer fires."""
+    """Holds a lane's copies until they are due. Held rows are state, so they survive a restart. A
+    micro-batch's rows that share a timer are one piece of state, written once and read once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.counts = handle.getMapState("counts", "due bigint", "n bigint")
-        self.rows = handle.getMapState("rows", "due bigint, number bigint", "row string")
+        self.pieces = handle.getMapState("pieces", "due bigint, number bigint", "rows array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        now, out = timerValues.getCurrentProcessingTimeInMs(), []
-        for part in rows:
-            for text, delay in zip(part["row"], part["delay_ms"], strict=True):
-                if delay <= 0:
-                    out.append(text)
-                    continue
-                due = int(now + delay)
-                n = self.counts.getValue((due,))[0] if self.counts.containsKey((due,)) else 0
-                if not n:
-                    self.handle.registerTimer(due)
-                self.rows.updateValue((due, n), (text,))
-                self.counts.updateValue((due,), (n + 1,))
-        yield pd.DataFrame({"row": pd.Series(out, dtype=object)})
+        now = timerValues.getCurrentProcessingTimeInMs()
+        part = pd.concat(list(rows))
+        wait = part["delay_ms"] > 0
+        due = -((now + part["delay_ms"][wait]) // -DUE_MS) * DUE_MS
+        for at, texts in part["row"][wait].groupby(due):
+            at = int(at)
+            held = self.counts.getValue((at,))[0] if self.counts.containsKey((at,)) else 0
+            if not held:
+                self.handle.registerTimer(at)
+            self.pieces.updateValue((at, held), (texts.tolist(),))
+            self.counts.updateValue((at,), (held + 1,))
+        yield pd.DataFrame({"row": part["row"][~wait]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        due, out = int(expiredTimerInfo.getExpiryTimeInMs()), []
+        due = int(expiredTimerInfo.getExpiryTimeInMs())
         for n in range(self.counts.getValue((due,))[0] if self.counts.containsKey((due,)) else 0):
-            out.append(self.rows.getValue((due, n))[0])
-            self.rows.removeKey((due, n))
+            yield pd.DataFrame({"row": pd.Series(list(self.pieces.getValue((due, n))[0]), dtype=object)})
+            self.pieces.removeKey((due, n))
         self.counts.removeKey((due,))
-        yield pd.DataFrame({"row": pd.Series(out, dtype=object)})
 
     def close(self) -> None:
         pass
@@ -106,66 +114,109 @@ def ordered_ledger(stream: DataFrame) -> DataFrame:
     return stream.groupBy("key").transformWithStateInPandas(statefulProcessor=_Ledger(), outputStructType="key string, offset bigint, amount double, balance double", outputMode="Append", timeMode="None")
 
 
-def eos_sink(stream: DataFrame, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet", dedupe_downstream: bool = False, **trigger) -> StreamingQuery:
-    """Writes output rows and source positions together: each micro-batch overwrites its own directory
-    `batch_id=N`, so a batch that runs again after a failure replaces what it left. Positions go to
-    `_positions/batch_id=N` beside it. The connector's sink is at least once, so it is refused unless
-    the reader deduplicates by source (dedupe_by_source)."""
+def eos_sink(
+    stream: DataFrame, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet", dedupe_downstream: bool = False, ordered: bool = False, **trigger
+) -> StreamingQuery:
+    """Writes output rows and source positions together: a micro-batch's rows and the positions it came to
+    are one commit of the target's commit log (see `commits`), read with committed_output and
+    committed_positions. Nothing of a batch that failed is read; one that runs again after its commit
+    writes nothing; a run that another has followed is stopped.
+
+    With an empty checkpoint the source is read again from its start. Where each partition's offsets come
+    in order (`ordered`), rows that the committed positions have passed are left out then; else all
+    are written. The connector's sink is at least once, so it is refused unless the reader deduplicates
+    by source (dedupe_by_source)."""
     if fmt == "kafka":
         if not dedupe_downstream:
             raise ValueError("this sink is at least once; deduplicate downstream by source, and say so with dedupe_downstream=True")
         out = transform(stream) if transform else stream
         return out.writeStream.format("kafka").option("checkpointLocation", checkpoint).options(**json.loads(target)).trigger(**(trigger or {"availableNow": True})).start()
+    log = CommitLog(stream.sparkSession, target)
+    run = log.start(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if run.is_committed(batch_id):
+            return
         batch.persist()
         try:
-            (transform(batch) if transform else batch).write.mode("overwrite").format(fmt).save(f"{target}/batch_id={batch_id}")
+            known = committed_positions(batch.sparkSession, target) if ordered else None
+            rows = batch if known is None else batch.join(known, ["topic", "partition"], "left").where("next_offset is null or offset >= next_offset").select(*batch.columns)
             ends = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
-            ends.write.mode("overwrite").format(fmt).save(f"{target}/_positions/batch_id={batch_id}")
+            run.commit(batch_id, {"data": transform(rows) if transform else rows, "positions": ends})
         finally:
             batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def committed_positions(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    """The group's positions after all micro-batches of an eos_sink."""
-    return spark.read.format(fmt).load(f"{target}/_positions").groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+def committed_output(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of all commits of an eos_sink, with the number of their commit as `commit`; None before the
+    first."""
+    return CommitLog(spark, target).read("data")
+
+
+def committed_positions(spark: SparkSession, target: str) -> DataFrame | None:
+    """(topic, partition, next_offset): the group's positions after all commits of an eos_sink; None before
+    the first."""
+    known = CommitLog(spark, target).read("positions")
+    return known if known is None else known.groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
 
 
-def rebuilding_model(stream: DataFrame, log: Callable[[], DataFrame], target: str, checkpoint: str, account: str = "account", amount: str = "amount", **trigger) -> StreamingQuery:
+#: Commits after which a model is written whole again.
+COMPACT_EVERY = 16
+
+
+def model_now(spark: SparkSession, target: str, account: str = "account") -> DataFrame | None:
+    """(account, balance, revision) after all commits of a rebuilding_model: its last base and what later
+    commits changed, each account as its last one has it."""
+    log = CommitLog(spark, target)
+    known = log.read("model", since=log.last_base())
+    if known is None:
+        return None
+    return known.groupBy(account).agg(F.max_by(F.struct("balance", "revision"), "commit").alias("x")).select(account, "x.balance", "x.revision")
+
+
+def rebuilding_model(
+    stream: DataFrame, log: Callable[[], DataFrame], target: str, checkpoint: str, account: str = "account", amount: str = "amount", compact_every: int = COMPACT_EVERY, **trigger
+) -> StreamingQuery:
     """Keeps the balance of each account, and starts over whenever a batch brings a newer revision: then
     the model is computed again from the log's start up to where the stream has come, else the batch's
     sums are added to it. `log` gives the retained log as it is now (topic, partition, offset, revision,
     account, amount).
 
-    Each micro-batch writes the model and its positions under its own `batch_id=N`, from those of the
-    latest one before it, so a batch that runs again replaces what it left."""
-
-    def before(spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
-        if not batch_id:
-            return None
-        return spark.read.parquet(f"{target}/{name}/batch_id={batch_id - 1}")
+    A commit holds the accounts that its batch changed, so what is written follows the batch. A rebuild,
+    and every `compact_every`-th commit, holds the whole model and is a base; what was before it goes.
+    Positions are in each base too. Read it with model_now."""
+    store = CommitLog(stream.sparkSession, target)
+    run = store.start(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if run.is_committed(batch_id):
+            return
         spark = batch.sparkSession
         batch.persist()
         try:
+            base = store.last_base()
+            model, known = model_now(spark, target, account), store.read("positions", since=base)
             ends = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
-            known, model = before(spark, "positions", batch_id), before(spark, "model", batch_id)
-            ends = ends if known is None else known.unionByName(ends).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
-            ends.write.mode("overwrite").parquet(f"{target}/positions/batch_id={batch_id}")
-            ends = spark.read.parquet(f"{target}/positions/batch_id={batch_id}")
+            all_ends = ends if known is None else known.select(*ends.columns).unionByName(ends).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+            kind = models.project_balances(batch, account, amount).schema["balance"].dataType
             revision = None if model is None else model.agg(F.max("revision")).first()[0]
+            whole = models.needs_rebuild(revision, batch) or run.n - base >= compact_every
             if models.needs_rebuild(revision, batch):
-                behind = log().join(ends, ["topic", "partition"]).where("offset < next_offset")
+                behind = log().join(all_ends, ["topic", "partition"]).where("offset < next_offset")
                 out = models.rebuild_on_revision(behind, account, amount).select(account, "balance", "revision")
             else:
-                added = batch.select(account, F.col(amount).alias("balance"))
-                added = added if model is None else added.unionByName(model.select(account, "balance"), allowMissingColumns=True)
-                out = added.groupBy(account).agg(F.sum("balance").alias("balance")).withColumn("revision", F.lit(revision).cast(batch.schema["revision"].dataType))
-            out.write.mode("overwrite").parquet(f"{target}/model/batch_id={batch_id}")
+                added = batch.groupBy(account).agg(F.sum(amount).alias("balance"))
+                if model is not None:
+                    old = model.select(account, F.col("balance").alias("_old"))
+                    added = added.join(old, account, "full" if whole else "left")
+                    # A null sum adds nothing, and stays null where there is no other.
+                    added = added.select(account, F.when(F.col("balance").isNull(), F.col("_old")).when(F.col("_old").isNull(), F.col("balance")).otherwise(F.col("balance") + F.col("_old")).alias("balance"))
+                out = added.withColumn("revision", F.lit(revision).cast(batch.schema["revision"].dataType))
+            out = out.withColumn("balance", F.col("balance").cast(kind))  # a sum of decimals would grow by a digit with each commit
+            if run.commit(batch_id, {"model": out, "positions": all_ends if whole else ends}, base=whole) and whole:
+                store.vacuum(("model", "positions"), before=run.n)
         finally:
             batch.unpersist()
 
@@ -177,4 +228,4 @@ def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame,
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-__all__ = ["SCHEMA", "committed_positions", "deferred", "eos_sink", "ordered_ledger", "read_bounded", "rebuilding_model", "run_batches"]
+__all__ = ["SCHEMA", "committed_output", "committed_positions", "deferred", "eos_sink", "model_now", "ordered_ledger", "read_bounded", "rebuilding_model", "run_batches"]
