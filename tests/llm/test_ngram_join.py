@@ -92,3 +92,13 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 def test_very_long_text(spark):
     long = " ".join(f"w{k % 7919}" for k in range(200000))
     check(spark, [(1, long), (2, long + " end"), (3, "x y z q")])
+
+
+def test_columns_of_any_name_do_not_meet_ours(spark):
+    texts = ["a b c d e f g h i j", "a b c d e f g h i j", "k l m n o p", None]
+    names = ["n_shingles", "component_id", "owner", "grams", "row", "n", "h1", "class_id", "list", "keep"]
+    docs = spark.createDataFrame([(i, t, *["x"] * len(names)) for i, t in enumerate(texts)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = sorted((r.doc_id, r.component_id) for r in J.link_components(docs.select("doc_id", "text", *names)).select("doc_id", "component_id").collect())
+    assert got == [(0, 0), (1, 0), (2, 2), (3, 3)]
+    kept = J.one_of_each(docs).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 2, 3] and all(tuple(r)[2:] == ("x",) * len(names) for r in kept)

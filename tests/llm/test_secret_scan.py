@@ -116,3 +116,26 @@ def test_held_out_findings(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.scan(docs, S.train(S.labelled_findings(docs), S.dictionary(docs)), S.dictionary(docs)).count() == 0
+
+
+def test_features_equal_plain_counts(spark):
+    known = {"river", "stone", "paper"}
+    found = [
+        ("Abc123-river_STONE", 'api_key = "', '" next'), ("deadbeef00112233", "commit ", " x"), ("river stone paper!", "passphrase: '", "'"), ("a/b/c.d-e_9", "see ", ""),
+        ("aaaa1111", "", None), ("ÄäÖ9x", None, " y"), ("s3cret!", "http://u:", "@host"), ("xriver9", "token: ", "."),
+    ]
+    rows = spark.createDataFrame([(i, *f) for i, f in enumerate(found)], "i int, candidate string, before string, after string")
+    got = {r.i: r for r in S.features(rows, spark.createDataFrame([(w,) for w in known], "word string")).collect()}
+    for i, (c, before, after) in enumerate(found):
+        n, near, behind = len(c), ((before or "") + " ").lower(), after or ""
+        kind = ["a" if x.islower() else "A" if x.isupper() else "0" if x in "0123456789" else x for x in c]
+        want = {
+            "length": n, "transitions": sum(a != b for a, b in zip(kind, kind[1:])) / n, "digits": sum(x in "0123456789" for x in c) / n, "uppers": sum("A" <= x <= "Z" for x in c) / n,
+            "hex": bool(re.fullmatch("[0-9a-fA-F]+", c)), "distinct": len(set(c)) / n, "dictionary": sum(len(w) for w in re.findall(r"[^\W\d_]{3,}", c.lower()) if w in known) / n,
+            "slashes": c.count("/") / n, "dots": sum(x in ".-" for x in c) / n, "spaces": c.count(" ") / n,
+            "assigned": bool(re.search(r"[=:]\s*[\"']?\s*$", near)), "quoted": near[-2:-1] in ("\"", "'") and near != " " and behind[:1] in ("\"", "'") and behind != "",
+            "in_url": bool(re.search(r"://[^\s/:@]*: $", near)) and behind.startswith("@"),
+        }
+        for name, value in want.items():
+            assert got[i][name] == pytest.approx(float(value), abs=1e-12), (c, name)
+    assert [got[i].credential for i in range(8)] == [1, 0, 1, 0, 0, 0, 0, 1] and [got[i].harmless for i in range(8)] == [0, 1, 0, 0, 0, 0, 0, 0]

@@ -66,3 +66,9 @@ def test_sql_equals_query_on_linked_pages(spark, tmp_path):
     got = sorted(map(str, U.op10_url_filter(spark, str(tmp_path)).select(*names).toPandas().astype(str).values.tolist()))
     want = sorted(map(str, db.execute(f"SELECT {', '.join(names)} FROM ({U.OP10_SQL})").df().astype(str).replace("nan", "None").values.tolist()))
     assert got == want and sum("block" in g for g in got) > 20
+
+
+def test_very_long_pages_are_read_whole(spark):
+    filler = "<p>" + "lorem ipsum < > ' \" " * 100_000
+    rows = [(1, "http://a.io/1", filler + '<link rel="canonical" href="http://bad.com/en/x">', 0), (2, "http://a.io/2", filler + "<link rel=", 0), (3, "http://a.io/" + "y" * 100_000, "", 0)]
+    assert {k: r.verdict for k, r in run(spark, rows).items()} == {1: "block", 2: "allow", 3: "allow"}
