@@ -1,7 +1,9 @@
-"""Helpers shared by the corpus operators: reading, sampling, connected components."""
+"""Helpers shared by the corpus operators: reading, sampling, sums of arrays, connected components."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,36 @@ def within_bytes(packed: DataFrame, sizes: list[str], most: int, key: str = "doc
     return packed.join(F.broadcast(kept), key, "left_semi")  # of bounded rows
 
 
+#: Numbers of a piece in which arrays are summed, so that a task that adds a piece up holds little.
+PIECE = 1 << 13
+
+
+def pieces(values: np.ndarray) -> pa.RecordBatch:
+    """One task's array, in pieces, as `summed` takes it."""
+    flat = np.ascontiguousarray(values, np.float32).ravel()
+    cut = range(0, len(flat), PIECE)
+    return pa.record_batch({"piece": pa.array(range(len(cut)), pa.int32()), "sums": pa.array([flat[k : k + PIECE].tobytes() for k in cut], pa.binary())})
+
+
+PIECES = "piece int, sums binary"
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of all tasks' arrays of this size: pieces are added up in tasks, in the order of their bytes so
+    that reruns agree, and one array reaches the driver."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(PIECE)
+        for x in sorted(rows.column("sums").to_pylist()):
+            total[: len(x) // 4] += np.frombuffer(x, np.float32)
+        return pa.table({"piece": rows.column("piece").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(-(-size // PIECE) * PIECE)
+    for r in parts.groupBy("piece").applyInArrow(add, PIECES).toLocalIterator():
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r.sums)
+    return out[:size]
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of an undirected graph: (a, b) bigint edges -> (node, component), the
     component being the smallest node reachable. Nodes without an edge are absent; null ends are
