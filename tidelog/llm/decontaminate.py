@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordhash as W
-from .common import checkpoint, sample_by_id, table
+from .common import PIECES, checkpoint, pieces, summed, table
 
 BITS, RANK = 14, 64
-#: Documents whose passages, with all benchmark items, fit the latent space; every passage is searched.
-SVD_DOCS = 1000
+#: Words of passages that are multiplied at once where the latent space is fitted; they stay in the cache.
+FIT_WORDS = 1 << 12
 #: Items and words of one block of the benchmark, which a task holds at once (about 16 MB of words and
 #: 8 MB of vectors); of more blocks each is a job of its own over the texts.
 ITEM_BLOCK, BLOCK_WORDS = 1 << 15, 1 << 21
@@ -33,7 +33,7 @@ SHORT, SHORT_WINDOWS, SLICE = 12, {1: (1, 1), 2: (2, 7), 4: (4, 11), 8: (8, 11)}
 #: A passage is a candidate for an item from this share of the item's cosine with itself on. In both
 #: cosines the full norm counts, so what the latent space does not hold lowers them.
 COSINE = 0.5
-#: How much the items weigh against the sampled passages where the latent space is fitted.
+#: How much the items weigh against the documents' passages where the latent space is fitted.
 ITEM_WEIGHT = 3.0
 #: An item is leaked where so much of it is a common subsequence with the passage, or with all of
 #: its answer words present, so much.
@@ -81,20 +81,21 @@ def _passages(words: np.ndarray, first: np.ndarray, size: int = 32):
     return np.cumsum(new) - 1, int(new.sum())
 
 
-def _gram(words: np.ndarray, row: np.ndarray, n: int, idf: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """A^T (A base) of these passages' unit TF-IDF rows A."""
-    if not n:
-        return np.zeros_like(base)
-    b, w = bucket_of(words), idf[bucket_of(words)]
-    w = w / np.sqrt(np.bincount(row, w * w, n))[row].astype(np.float32)
-    y = np.zeros((n, base.shape[1]), np.float32)
-    cut = np.searchsorted(row, np.arange(n))
-    y += np.add.reduceat(base[b] * w[:, None], cut, axis=0)
-    order = np.argsort(b, kind="stable")
-    at, start = np.unique(b[order], return_index=True)
-    out = np.zeros_like(base)
-    out[at] = np.add.reduceat(y[row[order]] * w[order, None], start, axis=0)
-    return out
+def _add_gram(total: np.ndarray, words: np.ndarray, row: np.ndarray, idf: np.ndarray, base: np.ndarray) -> None:
+    """Adds A^T (A base) of these passages' unit TF-IDF rows A; row: the passage of each word, ascending."""
+    start = np.flatnonzero(np.diff(row, prepend=-1))
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + FIT_WORDS, side="right")) - 1)
+        first, last = start[i], start[j] if j < len(start) else len(words)
+        b, r, cut = bucket_of(words[first:last]), row[first:last] - row[first], start[i:j] - first
+        w = idf[b]
+        w = w / np.sqrt(np.add.reduceat(w * w, cut))[r]
+        y = np.add.reduceat(base[b] * w[:, None], cut, axis=0)
+        order = np.argsort(b.astype(np.uint16), kind="stable")
+        at = np.flatnonzero(np.diff(b[order], prepend=-1))
+        total[b[order][at]] += np.add.reduceat(y[r[order]] * w[order, None], at, axis=0)
+        i = j
 
 
 @dataclass
@@ -140,34 +141,36 @@ def read_items(benchmark: DataFrame, idf: np.ndarray, id_col: str = "item_id", t
         yield made(block)
 
 
-def fit(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray, rows: int = SVD_DOCS, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "text") -> Latent:
-    """Randomised SVD of the TF-IDF passages: subspace iteration V <- orth(A^T A V). Each task
-    multiplies its own passages, those of about `rows` documents and of all items; only the terms-by-
-    RANK products, a few megabytes a task, are summed and reach the driver."""
+def _multiplied(texts: DataFrame, idf: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """A^T (A base) over the passages of all these texts, divided by their number. Each task multiplies its
+    own passages; the terms-by-RANK products, four megabytes a task, are summed in pieces by tasks."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, count = np.zeros_like(base), 0
+        for batch in batches:
+            for _, _, buf, bounds in W.chunks(batch.column(0)):
+                words, first = words_of(buf, bounds)
+                row, n = _passages(words, first)
+                _add_gram(total, words, row, idf, base)
+                count += n
+        if count:
+            yield pieces(np.append(total, np.float32(count)))
+
+    out = summed(texts.mapInArrow(multiply, PIECES), base.size + 1)
+    return out[:-1].reshape(base.shape) / max(1.0, out[-1])
+
+
+def fit(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray, rounds: int = 2, text_col: str = "text", item_col: str = "text") -> Latent:
+    """Randomised SVD of the TF-IDF passages: subspace iteration V <- orth(A^T A V). Rounds over all items
+    alone lead to their space; the last one is over the passages of all documents and all items. What
+    reaches the driver is a product of the size of the space, whatever the number of texts."""
     rng = np.random.default_rng(3)
     base = np.linalg.qr(rng.normal(size=(1 << BITS, RANK)))[0].astype(np.float32)
-    sample = checkpoint(sample_by_id(docs, rows, id_col).select(F.col(text_col).alias("text")).repartition(4))
-    asked = benchmark.select(F.col(item_col).alias("text")).coalesce(8)
-    for _ in range(rounds):
-
-        def multiply(batches: Iterator[pa.RecordBatch], base=base) -> Iterator[pa.RecordBatch]:
-            total, count = np.zeros_like(base), 0
-            for batch in batches:
-                for _, _, buf, bounds in W.chunks(batch.column(0)):
-                    words, first = words_of(buf, bounds)
-                    row, n = _passages(words, first)
-                    total += _gram(words, row, n, idf, base)
-                    count += n
-            part = [total[k : k + 1024].tobytes() for k in range(0, len(total), 1024)]
-            yield pa.record_batch({"part": pa.array(range(len(part)), pa.int32()), "sums": pa.array(part, pa.binary()), "n": pa.array([count] * len(part), pa.int64())})
-
-        total = np.zeros(base.shape)
-        for texts, weight in ((sample, 1.0), (asked, ITEM_WEIGHT)):
-            one, count = np.zeros(base.shape), 0
-            for r in texts.mapInArrow(multiply, "part int, sums binary, n bigint").toLocalIterator():
-                one[r.part * 1024 : (r.part + 1) * 1024] += np.frombuffer(r.sums, np.float32).reshape(-1, RANK)
-                count += r.n if r.part == 0 else 0
-            total += weight / max(1, count) * one
+    asked = benchmark.select(F.col(item_col).alias("text"))
+    for last in [False] * rounds + [True]:
+        total = ITEM_WEIGHT * _multiplied(asked, idf, base)
+        if last:
+            total += _multiplied(docs.select(F.col(text_col).alias("text")), idf, base)
         base = np.linalg.qr(total + 1e-12 * rng.normal(size=base.shape))[0].astype(np.float32)
     return Latent(idf, base)
 
@@ -388,7 +391,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     docs = docs.drop("leaks")
     none = F.array().cast(LEAKS)
     idf = idf_weights(docs, text_col)
-    latent = fit(docs, benchmark, idf, id_col=id_col, text_col=text_col)
+    latent = fit(docs, benchmark, idf, text_col=text_col)
     blocks = (b for b in read_items(benchmark, idf, answer_col=answer_col) if b.ids)
     first, second = next(blocks, None), next(blocks, None)
     if first is None:
