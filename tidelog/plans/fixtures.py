@@ -1,7 +1,7 @@
 """Log tables derived from the given tables, and the same as SQL for the oracles.
 
-The logs come with their offsets here, as stored logs do: one window for each topic and partition. Where
-a table has to be turned into a log, sources.logs.topic_log does it without one.
+The logs come with their offsets here, as stored logs do. Where a table has to be turned into a log,
+sources.logs.topic_log does it.
 """
 
 from __future__ import annotations
@@ -25,9 +25,19 @@ def event_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, d: str) -> DataFrame:
+    """The events with offsets. They are numbered within each hour of a partition, from a base that a small
+    table of one row for each hour and partition gives, so no task holds a whole partition of the log."""
     rows = event_rows(spark, d).withColumn("partition", F.pmod(F.crc32("key"), F.lit(PARTITIONS)).cast("int"))
-    own = Window.partitionBy("topic", "partition").orderBy("timestamp", "event_id")
-    return rows.withColumn("offset", (F.row_number().over(own) - 1).cast("bigint")).withColumn("sequence", F.col("event_id"))
+    rows = rows.withColumn("_hour", F.floor(F.unix_micros("timestamp") / 3_600_000_000))
+    place = ["topic", "partition", "_hour"]
+    before = Window.partitionBy("topic", "partition").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(*place).agg(F.count("*").alias("_n")).select(*[F.col(c).alias(f"_of_{c}") for c in place], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    own = Window.partitionBy(*place).orderBy("timestamp", "event_id")
+    out = rows.withColumn("_number", F.row_number().over(own) - 1).join(base, same)
+    return out.withColumn("offset", (F.col("_base") + F.col("_number")).cast("bigint")).withColumn("sequence", F.col("event_id")).drop("_hour", "_number", "_base", *[f"_of_{c}" for c in place])
 
 
 def outcomes(log: DataFrame) -> DataFrame:
