@@ -122,6 +122,11 @@ def byte_at(data, pos) -> Column:
     return F.conv(F.hex(_c(data).substr(pos, F.lit(1))), 16, 10).cast("bigint")
 
 
+def _once(x, use) -> Column:
+    """use(x), with x evaluated once: within a lambda each mention of a column is evaluated again."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def read_zigzag(data, start=1) -> Column:
     """STRUCT<value BIGINT, next INT> of the zig-zag varint at a 1-based position, null where it is
     truncated or longer than ten bytes. Bits past 64 fall away."""
@@ -129,13 +134,14 @@ def read_zigzag(data, start=1) -> Column:
     seed = F.struct(F.lit(0).cast("bigint").alias("v"), F.lit(0).alias("n"), F.lit(False).alias("done"))
 
     def step(acc, i):
-        b = byte_at(data, start + i)
-        more = F.struct((acc["v"].bitwiseOR(F.call_function("shiftleft", b.bitwiseAND(F.lit(127).cast("bigint")), i * 7))).alias("v"), (acc["n"] + 1).alias("n"), (b < 128).alias("done"))
-        return F.when(acc["done"] | (acc["n"] < i), acc).when(b.isNull(), acc).otherwise(more)
+        more = lambda b: F.struct((acc["v"].bitwiseOR(F.call_function("shiftleft", b.bitwiseAND(F.lit(127).cast("bigint")), i * 7))).alias("v"), (acc["n"] + 1).alias("n"), (b < 128).alias("done"))
+        return F.when(acc["done"] | (acc["n"] < i), acc).otherwise(_once(byte_at(data, start + i), lambda b: F.when(b.isNull(), acc).otherwise(more(b))))
 
-    out = F.aggregate(F.sequence(F.lit(0), F.lit(9)), seed, step)
-    value = F.call_function("shiftrightunsigned", out["v"], F.lit(1)).bitwiseXOR(-(out["v"].bitwiseAND(F.lit(1).cast("bigint"))))
-    return F.when(out["done"], F.struct(value.alias("value"), (start + out["n"]).cast("int").alias("next")))
+    def finish(out):
+        value = F.call_function("shiftrightunsigned", out["v"], F.lit(1)).bitwiseXOR(-(out["v"].bitwiseAND(F.lit(1).cast("bigint"))))
+        return F.when(out["done"], F.struct(value.alias("value"), (start + out["n"]).cast("int").alias("next")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(9)), seed, step, finish)
 
 
 def union_branch(datum) -> Column:
@@ -149,20 +155,21 @@ def message_path(datum) -> Column:
     0 means [0]; null where the path is truncated or its count is negative. Each step takes a byte at
     least, so a count beyond the datum's bytes is known to be truncated."""
     datum = _c(datum)
-    head = read_zigzag(datum)
-    seed = F.struct(F.array().cast("array<int>").alias("path"), head["next"].alias("next"), (head["value"] >= 0).alias("ok"))
 
-    def step(acc, i):
-        v = read_zigzag(datum, acc["next"])
-        grown = F.struct(F.concat(acc["path"], F.array(v["value"].cast("int"))).alias("path"), v["next"].alias("next"), v.isNotNull().alias("ok"))
-        return F.when(acc["ok"], grown).otherwise(acc)
-
-    fits = (head["value"] > 0) & (head["value"] <= F.octet_length(datum))
-    steps = F.when(fits, F.sequence(F.lit(1), head["value"].cast("int"))).otherwise(F.array().cast("array<int>"))
-    out = F.aggregate(steps, seed, step)
-    path = F.when(head["value"] == 0, F.array(F.lit(0))).otherwise(out["path"])
-    good = (head["value"] == 0) | (fits & out["ok"])
-    return F.when(good, F.struct(path.alias("path"), datum.substr(out["next"], F.octet_length(datum) + 1).alias("message")))
+    def step(acc, _):
+        grown = lambda v: F.struct(F.concat(acc["path"], F.array(v["value"].cast("int"))).alias("path"), v["next"].alias("next"), v.isNotNull().alias("ok"))
+        return F.when(acc["ok"], _once(read_zigzag(datum, acc["next"]), grown)).otherwise(acc)
+
+    def rest(path, start):
+        return F.struct(path.alias("path"), datum.substr(start, F.octet_length(datum) + 1).alias("message"))
+
+    def whole(head):
+        seed = F.struct(F.array().cast("array<int>").alias("path"), head["next"].alias("next"), F.lit(True).alias("ok"))
+        steps = F.aggregate(F.sequence(F.lit(1), head["value"].cast("int")), seed, step, lambda out: F.when(out["ok"], rest(out["path"], out["next"])))
+        fits = (head["value"] > 0) & (head["value"] <= F.octet_length(datum))
+        return F.when(head["value"] == 0, rest(F.array(F.lit(0)), head["next"])).when(fits, steps)
+
+    return _once(read_zigzag(datum), whole)
 
 
 def write_zigzag(n) -> Column:
