@@ -242,6 +242,19 @@ def test_definitions_are_compared_once(spark, monkeypatch):
     assert out.where("not ok").count() == 10000 and met == [1]
 
 
+def test_a_task_orders_a_bounded_part_of_the_versions(spark, monkeypatch):
+    """The tasks that order versions follow their bytes, and verdicts meet the versions without a shuffle."""
+    monkeypatch.setattr(audit, "TASK_BYTES", 1 << 17, raising=False)
+    rows = spark.range(20000).select(F.col("id"), F.concat(F.lit("s"), F.floor(F.col("id") / 2)).alias("subject"), (F.col("id") % 2 + 1).alias("version"), F.lit("AVRO").alias("schema_type"), F.when(F.col("id") % 2 == 0, ORDER_1).otherwise(ORDER_2).alias("definition"))
+    levels = spark.range(0, 10000, 2).select(F.concat(F.lit("s"), "id").alias("subject"), F.lit("FULL_TRANSITIVE").alias("level"))
+    pairs = audit._versions_to_compare(audit._keyed(rows), levels)
+    held = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 15000 and max(held) < 2000
+    out = audit.compatibility_audit(rows, levels)
+    assert out.where("not ok").count() == 10000 and out.where("ok").count() == 5000
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lanes_and_violations(spark):
     rows = spark.createDataFrame([("a", "t", 0, o, p) for o, p in ((0, 1), (1, 3), (2, 2))] + [("b", "t", 0, 3, 1)], "key string, topic string, partition int, offset bigint, processed_at int")
     assert [tuple(r) for r in models.order_violations(rows).collect()] == [("a", 1)]

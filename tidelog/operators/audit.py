@@ -58,6 +58,10 @@ MOST_SETS = 10_000
 
 #: Bytes of all compiled definitions that are broadcast; more are joined by a shuffle.
 BROADCAST_DEFINITIONS = 8 << 20
+
+#: Bytes of versions that one task sorts, and what a row has besides its subject. Rows are narrow and shrink
+#: well in a shuffle, so a task that is cut by the bytes shuffled would hold many times as many.
+TASK_BYTES, ROW_BYTES = 32 << 20, 128
 _ROOT = ["reader", "writer", "root_r", "root_w"]
 _MET = "reader binary, writer binary, root_r int, root_w int, problems array<string>, unknown array<string>, choices array<struct<text:string,pairs:array<struct<r:int,w:int>>>>"
 _MET_ARROW = pa.schema([("reader", pa.binary()), ("writer", pa.binary()), ("root_r", pa.int32()), ("root_w", pa.int32()), ("problems", pa.list_(pa.string())), ("unknown", pa.list_(pa.string())), ("choices", pa.list_(pa.struct([("text", pa.string()), ("pairs", pa.list_(pa.struct([("r", pa.int32()), ("w", pa.int32())])))])))])
@@ -65,7 +69,12 @@ _MET_ARROW = pa.schema([("reader", pa.binary()), ("writer", pa.binary()), ("root
 
 def _versions_to_compare(schemas: DataFrame, levels: DataFrame) -> DataFrame:
     """(subject, new_version, old_version, direction, reader, writer), the last two as definitions' keys."""
-    v = schemas.select("subject", "version", "fp").join(levels.select("subject", "level"), "subject", "left")
+    v, levels = schemas.select("subject", "version", "fp"), levels.select("subject", "level")
+    tasks = -(-(schemas.agg(F.sum(F.coalesce(F.octet_length("subject"), F.lit(0)) + ROW_BYTES)).first()[0] or 0) // TASK_BYTES)
+    if tasks > (spark := schemas.sparkSession).sparkContext.defaultParallelism:
+        tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))  # with fewer than these all would be shuffled again
+        v, levels = v.repartition(tasks, "subject"), levels.repartition(tasks, "subject")
+    v = v.join(levels, "subject", "left")
     v = v.withColumn("level", F.coalesce("level", F.lit("BACKWARD"))).where("level <> 'NONE'")
     every, w = F.col("level").endswith("_TRANSITIVE"), Window.partitionBy("subject").orderBy("version")
     latest_ = v.where(~every).withColumns({"old_version": F.lag("version").over(w), "old_fp": F.lag("fp").over(w)}).where("old_version is not null")
@@ -165,7 +174,10 @@ def compatibility_audit(schemas: DataFrame, levels: DataFrame) -> DataFrame:
     verdicts = _settled(_compared(roots, definitions))
     sure = F.size("problems") > 0
     ok = F.when(sure, False).when(F.size("unknown") > 0, F.lit(None).cast("boolean")).otherwise(True)
-    verdicts = verdicts.select("reader", "writer", ok.alias("ok"), F.when(sure, F.col("problems")).otherwise(F.col("unknown")).alias("problems"))
+    verdicts = checkpoint(verdicts.select("reader", "writer", ok.alias("ok"), F.when(sure, F.col("problems")).otherwise(F.col("unknown")).alias("problems")))
+    # Many versions share few pairs of definitions, and a shuffle would bring all of a pair's into one task.
+    size = verdicts.agg(F.sum(F.lit(ROW_BYTES) + F.coalesce(F.octet_length(F.array_join("problems", "")), F.lit(0)))).first()[0] or 0
+    verdicts = F.broadcast(verdicts) if size <= BROADCAST_DEFINITIONS else verdicts
     return pairs.join(verdicts, ["reader", "writer"]).drop("reader", "writer")
 
 
