@@ -144,8 +144,10 @@ def read_items(benchmark: DataFrame, idf: np.ndarray, id_col: str = "item_id", t
 def _multiplied(texts: DataFrame, idf: np.ndarray, base: np.ndarray) -> np.ndarray:
     """A^T (A base) over the passages of all these texts, divided by their number. Each task multiplies its
     own passages; the terms-by-RANK products, four megabytes a task, are summed in pieces by tasks."""
+    sent = texts.sparkSession.sparkContext.broadcast((idf, base))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, base = sent.value
         total, count = np.zeros_like(base), 0
         for batch in batches:
             for _, _, buf, bounds in W.chunks(batch.column(0)):
@@ -157,7 +159,9 @@ def _multiplied(texts: DataFrame, idf: np.ndarray, base: np.ndarray) -> np.ndarr
             yield pieces(np.append(total, np.float32(count)))
 
     out = summed(texts.mapInArrow(multiply, PIECES), base.size + 1)
-    return out[:-1].reshape(base.shape) / max(1.0, out[-1])
+    sent.destroy()  # else the driver's JVM holds it until it happens to collect its garbage
+    out[:-1] /= max(1.0, out[-1])
+    return out[:-1].reshape(base.shape)
 
 
 def fit(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray, rounds: int = 2, text_col: str = "text", item_col: str = "text") -> Latent:
@@ -168,10 +172,15 @@ def fit(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray, rounds: int = 2,
     base = np.linalg.qr(rng.normal(size=(1 << BITS, RANK)))[0].astype(np.float32)
     asked = benchmark.select(F.col(item_col).alias("text"))
     for last in [False] * rounds + [True]:
-        total = ITEM_WEIGHT * _multiplied(asked, idf, base)
+        total = _multiplied(asked, idf, base)
+        total *= ITEM_WEIGHT
         if last:
             total += _multiplied(docs.select(F.col(text_col).alias("text")), idf, base)
-        base = np.linalg.qr(total + 1e-12 * rng.normal(size=base.shape))[0].astype(np.float32)
+        noise = rng.normal(size=base.shape)
+        noise *= 1e-12
+        total += noise
+        del noise
+        base = np.linalg.qr(total)[0].astype(np.float32)
     return Latent(idf, base)
 
 

@@ -171,8 +171,10 @@ def _learnt(usable: DataFrame, langs: list[str], n: int) -> _State:
     whole, part = _means(usable, langs)
     again = min(MOST_AGAIN, max(1, -(-VISITS // max(1, n))))
     for round_ in range(ROUNDS):
+        sent = usable.sparkSession.sparkContext.broadcast((state.flat, whole, part))
 
-        def learn(batches: Iterator[pa.RecordBatch], flat=state.flat, last=round_ == ROUNDS - 1) -> Iterator[pa.RecordBatch]:
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent, last=round_ == ROUNDS - 1) -> Iterator[pa.RecordBatch]:
+            flat, whole, part = sent.value
             own, mean, rows, steps = _State(len(langs), flat.copy()), np.zeros(len(flat)), 0, 0
             held: list = []
 
@@ -196,6 +198,7 @@ def _learnt(usable: DataFrame, langs: list[str], n: int) -> _State:
                 yield pieces(np.append(mean / max(1, steps) if last else own.flat, 1.0) * rows)
 
         total = summed(usable.select("text", "lang").mapInArrow(learn, PIECES), len(state.flat) + 1)
+        sent.destroy()  # else the driver's JVM holds it until it happens to collect its garbage
         state = _State(len(langs), total[:-1] / total[-1])
     return state
 
