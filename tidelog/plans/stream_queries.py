@@ -141,7 +141,9 @@ def windows_stream(s, d):
     """Commit windows as keyed state: records are enrolled as they come, settled or failed a batch later. A
     window with a record that is still to be retried stays open."""
     with _folder(s) as folder, _rocksdb(s):
-        log = C.settle(outcomes(event_log(s, d))).withColumn("window", F.floor(F.col("event_id") / 40))
+        # Numbered once, not anew for each part of it.
+        C.settle(outcomes(event_log(s, d))).select(F.floor(F.col("event_id") / 40).alias("window"), "topic", "partition", "offset", "settled", "amount").write.parquet(f"{folder}/log")
+        log = s.read.parquet(f"{folder}/log")
         enrolled = log.select("window", "topic", "partition", "offset", F.lit("enrolled").alias("event"))
         ended = log.where("settled or amount > 400").select("window", "topic", "partition", "offset", F.when(F.col("amount") > 400, "failed").otherwise("settled").alias("event"))
         closed = log.groupBy("window").agg(F.count("*").alias("offset")).select("window", F.lit("").alias("topic"), F.lit(0).alias("partition"), "offset", F.lit("closed").alias("event"))
